@@ -151,8 +151,9 @@ def parse_payload(df: DataFrame, payload: str = "payload") -> DataFrame:
     :func:`to_payload` come back through a plain typed ``from_json``; comparing with its
     own ``to_json`` proves nothing was lost, and only other texts take the checked way.
 
-    The steps are separate projections on purpose: each stays small enough for the JIT,
-    and nothing is computed twice.
+    The two costly steps are generators of one row each. Catalyst copies a projected
+    expression into every filter that uses it; it does not do so with generated columns, so
+    each step runs once per row and plans stay small.
     """
     text = F.coalesce(F.col(payload), F.lit(""))
     plain = F.col("_plain")
@@ -169,24 +170,27 @@ def parse_payload(df: DataFrame, payload: str = "payload") -> DataFrame:
         .when(_is_null_literal(text), F.struct(F.lit(True).alias("ok"), nothing.alias("fields")))
         .otherwise(_checked_fields(text))
     )
-    fields = F.col("_row")["fields"]
+    fields = F.col("_fields")
     value = fields["value"]
     time_text = fields["timestamp"]
+    others = [c for c in df.columns if c not in READING_COLUMNS and c != "parse_ok"]
     parsed = (
-        df.withColumn("_plain", F.from_json(text, _PAYLOAD_FIELDS, STRICT_JSON))
-        .withColumn("_row", chosen)
-        .withColumn("_time", read_rfc3339(time_text))
+        df.select(*others, F.from_json(text, _PAYLOAD_FIELDS, STRICT_JSON).alias("_plain"))
+        .select(*others, F.inline(F.array(chosen)).alias("_ok", "_fields"))
+        .select("*", F.inline(F.array(F.struct(read_rfc3339(time_text)))).alias("_time"))
     )
     zero = F.lit(ZERO_TIME).cast("timestamp")
     columns = {c: F.coalesce(fields[c], F.lit("")) for c in TEXT_COLUMNS}
     columns["value"] = F.coalesce(value, F.lit(0.0))
     columns["timestamp"] = F.when(time_text.isNull(), zero).otherwise(F.col("_time"))
-    columns["parse_ok"] = (
-        F.col("_row")["ok"]
+    ok = (
+        F.col("_ok")
         & (time_text.isNull() | F.col("_time").isNotNull())
         & F.coalesce(~F.isnan(value) & (F.abs(value) < float("inf")), F.lit(True))
     )
-    return parsed.withColumns(columns).drop("_plain", "_row", "_time")
+    return parsed.select(
+        *others, *[columns[c].alias(c) for c in READING_COLUMNS], ok.alias("parse_ok")
+    )
 
 
 def parse_publish_body(df: DataFrame, body: str = "body") -> DataFrame:

@@ -12,10 +12,10 @@ def dedup_first(df: DataFrame, keys: list[str], order: list[str] | None = None)
     An aggregate, so that copies meet within each task before the shuffle: a key with very
     many copies costs each task one row.
     """
-    columns = df.columns
-    first_by = F.struct(*(order or []), *[c for c in columns if c not in (order or [])])
-    first = F.min_by(F.struct(*columns), first_by)
-    return df.groupBy(*keys).agg(first.alias("_first")).select("_first.*")
+    order = order or []
+    row = F.struct(*order, *[c for c in df.columns if c not in order])
+    first = df.groupBy(*keys).agg(F.min(row).alias("_first"))
+    return first.select(*[F.col("_first")[c].alias(c) for c in df.columns])
 
 
 def insert_if_absent(

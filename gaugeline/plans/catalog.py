@@ -19,6 +19,7 @@ from gaugeline.operators import (
     upgrades,
 )
 from gaugeline.plans import adapters as A
+from gaugeline.plans import flagship
 from gaugeline.plans import sql as S
 from gaugeline.schemas import ENTRY_COLUMNS, READING_COLUMNS, TELEMETRY_COLUMNS
 from gaugeline.session import work_folder
@@ -728,11 +729,20 @@ def _(spark, sf_dir):
     )
 
 
+@query("pipeline", S.with_(S.TELEMETRY, f"""
+    SELECT {TELEMETRY_SQL} FROM telemetry""".replace(
+        '"ingested_at"', "TIMESTAMP '2024-02-01 00:00:00' AS ingested_at")))
+def _(spark, sf_dir):
+    """Readings, some delivered twice, through the queue into an empty telemetry table."""
+    return flagship.end_to_end(A.load(spark, sf_dir))
+
+
 # --- Files and streams -------------------------------------------------------------------
 
 
 def _events_folder(sf_dir: str) -> str:
-    return f"{sf_dir.rstrip('/')}/events.parquet"
+    # A pattern, because a streaming source takes a single file only through one.
+    return f"{sf_dir.rstrip('/')}/events.parque[t]"
 
 
 @query("csv_roundtrip", S.with_(S.READINGS, f"SELECT {READING_SQL} FROM readings"))
