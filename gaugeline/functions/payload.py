@@ -44,102 +44,79 @@ def to_payload(df: DataFrame) -> DataFrame:
     return df.filter(finite).withColumn("payload", payload_json())
 
 
-def _entries(text: Column) -> Column:
+# The expressions over members are SQL text: nested lambdas read better so, and one text
+# costs a single call to the JVM instead of hundreds.
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for a value that is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _members(text: str) -> str:
     """A JSON object's members with lower-cased keys and value types; NULL for other texts.
 
     ``from_json`` stops reading after the first value, so the text is read as the only
     element of an array: whatever follows the object then breaks the array, except a
     closing bracket, which the member of an object cannot have either.
     """
-    objects = F.from_json(
-        F.concat(F.lit("["), text, F.lit("]")), "array<map<string,variant>>", STRICT_JSON
-    )
-    inner = F.from_json(
-        F.concat(F.lit('{"w":'), text, F.lit("}")), "map<string,variant>", STRICT_JSON
-    )
-    whole = (F.size(objects) == 1) & (~text.rlike(r"\}\s*\]") | inner.isNotNull())
-    typed = F.transform(
-        F.map_entries(F.get(objects, F.lit(0))),
-        lambda e: F.struct(
-            F.lower(e["key"]).alias("k"),
-            F.coalesce(F.schema_of_variant(e["value"]), F.lit("VOID")).alias("t"),
-            e["value"].alias("v"),
-        ),
-    )
-    return F.when(whole, typed)
-
+    strict = ", ".join(f"'{k}', '{v}'" for k, v in STRICT_JSON.items())
+    objects = f"from_json(concat('[', {text}, ']'), 'array<map<string,variant>>', map({strict}))"
+    inner = f"from_json(concat('{{\"w\":', {text}, '}}'), 'map<string,variant>', map({strict}))"
+    member = "named_struct('k', lower(y.key), 't', coalesce(schema_of_variant(y.value), 'VOID'), 'v', y.value)"
+    return _let("o", objects, f"""
+        CASE WHEN size(o) = 1 AND (NOT {text} RLIKE r'\\}}\\s*\\]' OR {inner} IS NOT NULL)
+             THEN transform(map_entries(o[0]), y -> {member}) END""")
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
 
-
-def _last(entries: Column, key: str) -> Column:
+def _last(key: str, kind: str) -> str:
     """The last member of that name which is not JSON null."""
-    return F.try_element_at(
-        F.filter(entries, lambda e: (e["k"] == key) & (e["t"] != "VOID")), F.lit(-1)
-    )
+    found = f"filter(e, x -> x.k = '{key}' AND x.t <> 'VOID')"
+    return f"try_variant_get(try_element_at({found}, -1).v, '$', '{kind}')"
 
 
-def _is_null_literal(text: Column) -> Column:
-    return F.btrim(text) == "null"
+_GPU_ID = _last("gpu_id", "string")
+_GPU_ID_MISTYPED = "exists(e, x -> x.k = 'gpu_id' AND x.t NOT IN ('STRING', 'VOID'))"
 
 
-def extract_gpu_id(text: Column) -> Column:
-    """Only ``gpu_id`` of a payload: text, "" when absent or null, NULL when not readable."""
+def _is_null_literal(text: str) -> str:
+    return f"trim({text}) = 'null'"
 
-    def pick(entries: Column) -> Column:
-        found = _last(entries, "gpu_id")
-        bad = F.exists(entries, lambda e: (e["k"] == "gpu_id") & ~e["t"].isin("STRING", "VOID"))
-        return (
-            F.when(entries.isNull() | bad, F.lit(None))
-            .when(found.isNull(), F.lit(""))
-            .otherwise(F.variant_get(found["v"], "$", "string"))
-        )
 
-    return F.when(_is_null_literal(text), F.lit("")).otherwise(_let(_entries(text), pick))
+def extract_gpu_id(text: str = "payload") -> Column:
+    """Only ``gpu_id`` of a payload: text, "" when absent or null, NULL when not readable."""
+    body = f"CASE WHEN e IS NOT NULL AND NOT {_GPU_ID_MISTYPED} THEN coalesce({_GPU_ID}, '') END"
+    return F.expr(
+        f"CASE WHEN {_is_null_literal(text)} THEN '' ELSE {_let('e', _members(text), body)} END"
+    )
 
 
-def message_problem(text: Column) -> Column:
+def _problem(text: str) -> str:
     """Why one message is refused, or NULL."""
+    known = f"coalesce({text}, '')"
+    body = f"""
+        CASE WHEN e IS NULL THEN '{NOT_AN_OBJECT}' WHEN {_GPU_ID_MISTYPED} THEN '{GPU_ID_NOT_TEXT}'
+             WHEN coalesce({_GPU_ID}, '') = '' THEN '{GPU_ID_REQUIRED}' END"""
+    return f"""
+        CASE WHEN {_is_null_literal(text)} THEN '{GPU_ID_REQUIRED}'
+             ELSE {_let('e', _members(known), body)} END"""
 
-    def check(entries: Column) -> Column:
-        found = _last(entries, "gpu_id")
-        bad = F.exists(entries, lambda e: (e["k"] == "gpu_id") & ~e["t"].isin("STRING", "VOID"))
-        return (
-            F.when(entries.isNull(), NOT_AN_OBJECT)
-            .when(bad, GPU_ID_NOT_TEXT)
-            .when(F.coalesce(F.variant_get(found["v"], "$", "string"), F.lit("")) == "", GPU_ID_REQUIRED)
-        )
-
-    return F.when(_is_null_literal(text), GPU_ID_REQUIRED).otherwise(
-        _let(_entries(F.coalesce(text, F.lit(""))), check)
-    )
 
+def message_problem(text: str = "payload") -> Column:
+    return F.expr(_problem(text))
 
-def _checked_fields(text: Column) -> Column:
-    """Any JSON object as ``struct(ok, fields)``, every member's type checked."""
 
-    def build(entries: Column) -> Column:
-        text_keys = [*TEXT_COLUMNS, "timestamp"]
-        wrong = F.exists(
-            entries,
-            lambda e: (e["k"].isin(text_keys) & ~e["t"].isin("STRING", "VOID"))
-            | (
-                (e["k"] == "value")
-                & ~(e["t"].isin("BIGINT", "DOUBLE", "VOID") | e["t"].startswith("DECIMAL"))
-            ),
-        )
-        values = [
-            F.try_variant_get(
-                _last(entries, c)["v"], "$", "double" if c == "value" else "string"
-            ).alias(c)
-            for c in READING_COLUMNS
-        ]
-        ok = entries.isNotNull() & ~F.coalesce(wrong, F.lit(True))
-        return F.struct(ok.alias("ok"), F.struct(*values).alias("fields"))
-
-    return _let(_entries(text), build)
+def _checked_fields(text: str) -> str:
+    """Any JSON object as ``struct(ok, fields)``, every member's type checked."""
+    text_keys = ", ".join(f"'{c}'" for c in (*TEXT_COLUMNS, "timestamp"))
+    wrong = f"""
+        exists(e, x -> (x.k IN ({text_keys}) AND x.t NOT IN ('STRING', 'VOID'))
+          OR (x.k = 'value' AND x.t NOT IN ('BIGINT', 'DOUBLE', 'VOID') AND NOT startswith(x.t, 'DECIMAL')))"""
+    fields = ", ".join(
+        f"'{c}', {_last(c, 'double' if c == 'value' else 'string')}" for c in READING_COLUMNS
+    )
+    ok = f"e IS NOT NULL AND NOT coalesce({wrong}, true)"
+    return _let("e", _members(text), f"named_struct('ok', {ok}, 'fields', named_struct({fields}))")
 
 
 def parse_payload(df: DataFrame, payload: str = "payload") -> DataFrame:
@@ -155,27 +132,23 @@ def parse_payload(df: DataFrame, payload: str = "payload") -> DataFrame:
     expression into every filter that uses it; it does not do so with generated columns, so
     each step runs once per row and plans stay small.
     """
-    text = F.coalesce(F.col(payload), F.lit(""))
-    plain = F.col("_plain")
-    is_plain = F.coalesce(
-        (F.to_json(plain, {"ignoreNullFields": "false"}) == text)
-        & (F.abs(plain["value"]) < float("inf")),
-        F.lit(False),
-    )
-    nothing = F.struct(*[
-        F.lit(None).cast("double" if c == "value" else "string").alias(c) for c in READING_COLUMNS
-    ])
-    chosen = (
-        F.when(is_plain, F.struct(F.lit(True).alias("ok"), plain.alias("fields")))
-        .when(_is_null_literal(text), F.struct(F.lit(True).alias("ok"), nothing.alias("fields")))
-        .otherwise(_checked_fields(text))
+    nothing = ", ".join(
+        f"'{c}', CAST(NULL AS {'double' if c == 'value' else 'string'})" for c in READING_COLUMNS
     )
+    chosen = F.expr(f"""
+        CASE WHEN to_json(_plain, map('ignoreNullFields', 'false')) = _text
+                  AND abs(_plain.value) < double('infinity')
+             THEN named_struct('ok', true, 'fields', _plain)
+             WHEN {_is_null_literal('_text')}
+             THEN named_struct('ok', true, 'fields', named_struct({nothing}))
+             ELSE {_checked_fields('_text')} END""")
     fields = F.col("_fields")
     value = fields["value"]
     time_text = fields["timestamp"]
     others = [c for c in df.columns if c not in READING_COLUMNS and c != "parse_ok"]
     parsed = (
-        df.select(*others, F.from_json(text, _PAYLOAD_FIELDS, STRICT_JSON).alias("_plain"))
+        df.withColumn("_text", F.coalesce(F.col(payload), F.lit("")))
+        .select(*others, "_text", F.from_json("_text", _PAYLOAD_FIELDS, STRICT_JSON).alias("_plain"))
         .select(*others, F.inline(F.array(chosen)).alias("_ok", "_fields"))
         .select("*", F.inline(F.array(F.struct(read_rfc3339(time_text)))).alias("_time"))
     )
@@ -218,17 +191,10 @@ def parse_publish_body(df: DataFrame, body: str = "body") -> DataFrame:
     })
 
 
-def publish_problem(topic: Column, messages: Column) -> Column:
+def publish_problem(topic: str = "topic", messages: str = "messages") -> Column:
     """Why a publish request is refused, or NULL; the first bad message is named."""
-    numbered = F.transform(
-        messages,
-        lambda m, i: F.concat(
-            F.lit("messages["), i.cast("string"), F.lit("]: "), message_problem(m)
-        ),
-    )
-    first_bad = F.get(F.filter(numbered, lambda p: p.isNotNull()), F.lit(0))
-    return (
-        F.when(F.coalesce(topic, F.lit("")) == "", TOPIC_REQUIRED)
-        .when(F.coalesce(F.size(messages), F.lit(0)) <= 0, MESSAGES_EMPTY)
-        .otherwise(first_bad)
-    )
+    numbered = f"transform({messages}, (m, i) -> concat('messages[', i, ']: ', {_problem('m')}))"
+    return F.expr(f"""
+        CASE WHEN coalesce({topic}, '') = '' THEN '{TOPIC_REQUIRED}'
+             WHEN coalesce(size({messages}), 0) <= 0 THEN '{MESSAGES_EMPTY}'
+             ELSE get(filter({numbered}, p -> p IS NOT NULL), 0) END""")

@@ -16,7 +16,7 @@ def validate_publish(requests: DataFrame) -> DataFrame:
 
     A request's messages are checked within its row; nothing is shuffled.
     """
-    return requests.withColumn("error", publish_problem(F.col("topic"), F.col("messages")))
+    return requests.withColumn("error", publish_problem())
 
 
 def explode_publish(requests: DataFrame) -> DataFrame:
@@ -32,7 +32,7 @@ def publish_messages(
 ) -> DataFrame:
     """The messages of the accepted requests with GPU, partition and message id."""
     accepted = validate_publish(requests).filter("error IS NULL").drop("error")
-    messages = explode_publish(accepted).withColumn("gpu_id", extract_gpu_id(F.col("payload")))
+    messages = explode_publish(accepted).withColumn("gpu_id", extract_gpu_id("payload"))
     hashed = messages.withColumn("partition_key", fnv1a_partition(F.col("gpu_id"), partitions))
     return assign_msg_uuid(hashed, list(keys) if keys else None)
 

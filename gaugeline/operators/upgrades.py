@@ -54,7 +54,7 @@ def upgrade_queue(
     if from_version < 2 <= to_version:
         key = F.lit(0)
         if rehash:
-            gpu_id = F.coalesce(extract_gpu_id(F.col("payload")), F.lit(""))
+            gpu_id = F.coalesce(extract_gpu_id("payload"), F.lit(""))
             key = fnv1a_partition(gpu_id, VIRTUAL_PARTITIONS)
         df = df.withColumn("partition_key", key)
     if from_version < 4 <= to_version:

@@ -265,7 +265,7 @@ def _(spark, sf_dir):
     SELECT id, gpu_id AS extracted, true AS parse_ok, {READING_SQL} FROM readings"""))
 def _(spark, sf_dir):
     sent = payload.to_payload(A.readings(A.load(spark, sf_dir))).select("id", "payload")
-    rows = sent.withColumn("extracted", payload.extract_gpu_id(F.col("payload")))
+    rows = sent.withColumn("extracted", payload.extract_gpu_id("payload"))
     return payload.parse_payload(rows).select("id", "extracted", "parse_ok", *READING_COLUMNS)
 
 
@@ -291,7 +291,7 @@ FOREIGN = """
     FROM readings"""))
 def _(spark, sf_dir):
     rows = A.readings(A.load(spark, sf_dir)).select("id", F.expr(FOREIGN).alias("payload"))
-    rows = rows.withColumn("extracted", payload.extract_gpu_id(F.col("payload")))
+    rows = rows.withColumn("extracted", payload.extract_gpu_id("payload"))
     parsed = payload.parse_payload(rows)
     ok = F.col("parse_ok")
     return parsed.select(
