@@ -53,8 +53,8 @@ def _let(name: str, value: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
-def _members(text: str) -> str:
-    """A JSON object's members with lower-cased keys and value types; NULL for other texts.
+def _members(text: str, keys: list[str]) -> str:
+    """A JSON object's members of some names, any case, with value types; NULL for other texts.
 
     ``from_json`` stops reading after the first value, so the text is read as the only
     element of an array: whatever follows the object then breaks the array, except a
@@ -63,10 +63,12 @@ def _members(text: str) -> str:
     strict = ", ".join(f"'{k}', '{v}'" for k, v in STRICT_JSON.items())
     objects = f"from_json(concat('[', {text}, ']'), 'array<map<string,variant>>', map({strict}))"
     inner = f"from_json(concat('{{\"w\":', {text}, '}}'), 'map<string,variant>', map({strict}))"
+    names = ", ".join(f"'{k}'" for k in keys)
+    known = f"filter(map_entries(o[0]), y -> lower(y.key) IN ({names}))"
     member = "named_struct('k', lower(y.key), 't', coalesce(schema_of_variant(y.value), 'VOID'), 'v', y.value)"
     return _let("o", objects, f"""
         CASE WHEN size(o) = 1 AND (NOT {text} RLIKE r'\\}}\\s*\\]' OR {inner} IS NOT NULL)
-             THEN transform(map_entries(o[0]), y -> {member}) END""")
+             THEN transform({known}, y -> {member}) END""")
 
 
 def _last(key: str, kind: str) -> str:
@@ -87,7 +89,7 @@ def extract_gpu_id(text: str = "payload") -> Column:
     """Only ``gpu_id`` of a payload: text, "" when absent or null, NULL when not readable."""
     body = f"CASE WHEN e IS NOT NULL AND NOT {_GPU_ID_MISTYPED} THEN coalesce({_GPU_ID}, '') END"
     return F.expr(
-        f"CASE WHEN {_is_null_literal(text)} THEN '' ELSE {_let('e', _members(text), body)} END"
+        f"CASE WHEN {_is_null_literal(text)} THEN '' ELSE {_let('e', _members(text, ['gpu_id']), body)} END"
     )
 
 
@@ -99,7 +101,7 @@ def _problem(text: str) -> str:
              WHEN coalesce({_GPU_ID}, '') = '' THEN '{GPU_ID_REQUIRED}' END"""
     return f"""
         CASE WHEN {_is_null_literal(text)} THEN '{GPU_ID_REQUIRED}'
-             ELSE {_let('e', _members(known), body)} END"""
+             ELSE {_let('e', _members(known, ['gpu_id']), body)} END"""
 
 
 def message_problem(text: str = "payload") -> Column:
@@ -116,7 +118,7 @@ def _checked_fields(text: str) -> str:
         f"'{c}', {_last(c, 'double' if c == 'value' else 'string')}" for c in READING_COLUMNS
     )
     ok = f"e IS NOT NULL AND NOT coalesce({wrong}, true)"
-    return _let("e", _members(text), f"named_struct('ok', {ok}, 'fields', named_struct({fields}))")
+    return _let("e", _members(text, READING_COLUMNS), f"named_struct('ok', {ok}, 'fields', named_struct({fields}))")
 
 
 def parse_payload(df: DataFrame, payload: str = "payload") -> DataFrame:

@@ -19,7 +19,7 @@ def dedup_first(df: DataFrame, keys: list[str], order: list[str] | None = None)
 
 
 def insert_if_absent(
-    target: DataFrame,
+    target: DataFrame | None,
     batch: DataFrame,
     keys: list[str],
     order: list[str] | None = None,
@@ -31,9 +31,11 @@ def insert_if_absent(
     key columns of ``target`` are read. ``broadcast_rows`` is for small batches against a
     large table: if the batch is counted to have no more rows, its keys are sent to the
     scan of ``target``, which then shuffles nothing but the keys that match. Otherwise Spark
-    picks the join. Exact with one writer per table.
+    picks the join. A table that does not exist yet is None. Exact with one writer per table.
     """
     fresh = dedup_first(batch, keys, order)
+    if target is None:
+        return fresh
     present = target.select(*keys)
     if broadcast_rows is not None:
         wanted = batch.select(*keys).distinct()

@@ -79,14 +79,13 @@ def gpu_telemetry(
 
 def gpus_response(telemetry: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """``gpus``, an ordered array of ``{id}``, in pages; one empty page when there are none."""
-    ids = telemetry.filter("uuid IS NOT NULL").select("uuid").distinct()
-    cut = pages(ids, [], ["uuid"], F.struct(F.col("uuid").alias("id")), page_size, "gpus")
-    one = telemetry.sparkSession.range(1).select(F.lit(1).alias("_one"))
-    whole = one.join(cut.withColumn("_one", F.lit(1)), "_one", "left")
-    return whole.select(
-        F.coalesce("page", F.lit(0).cast("bigint")).alias("page"),
-        F.coalesce("gpus", F.array().cast("array<struct<id:string>>")).alias("gpus"),
+    known = telemetry.filter("uuid IS NOT NULL").select("uuid")
+    item = F.struct(F.col("uuid").alias("id"))
+    cut = pages(known.distinct(), [], ["uuid"], item, page_size, "gpus")
+    none = known.limit(1).agg(F.count(F.lit(1)).alias("n")).filter("n = 0").select(
+        F.lit(0).cast("bigint").alias("page"), F.array().cast("array<struct<id:string>>").alias("gpus")
     )
+    return cut.unionByName(none)
 
 
 def telemetry_response(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -115,8 +116,9 @@ def publish_batch(
     if keys is None:
         append_queue(messages, queue_path, batch, replace=True)
         return
+    held = scan_queue(spark, queue_path) if table_exists(spark, queue_path) else None
     new = insert_if_absent(
-        scan_queue(spark, queue_path), messages, ["topic", "msg_uuid"], ["id"], MAX_BROADCAST_KEYS
+        held, messages, ["topic", "msg_uuid"], ["id"], MAX_BROADCAST_KEYS
     )
     append_queue(new, queue_path, batch)
 
@@ -157,19 +159,25 @@ def collect_batch(
     of the batch are searched for its message ids.
     """
     spark = messages.sparkSession
-    rows = telemetry_rows(messages, mode)
-    good = storable(rows).withColumn("ingested_at", at if at is not None else F.current_timestamp())
-    good = good.select(*TELEMETRY_COLUMNS)
-    found = good.select(F.to_date("timestamp").alias("d")).distinct().limit(MAX_BATCH_DAYS + 1).collect()
-    days = [r.d for r in found] if len(found) <= MAX_BATCH_DAYS else None
-    if found:
-        new = insert_if_absent(
-            scan_telemetry(spark, telemetry_path, days), good, ["msg_uuid"], ["id"], MAX_BROADCAST_KEYS
-        )
-        append_telemetry(new, telemetry_path)
-    bad = quarantined(rows)
-    if mode == "quarantine":
-        bad.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/batch={batch}")
+    # Read four times below: the payloads should be parsed once.
+    rows = telemetry_rows(messages, mode).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        now = at if at is not None else F.current_timestamp()
+        good = storable(rows).withColumn("ingested_at", now).select(*TELEMETRY_COLUMNS)
+        day = F.to_date("timestamp").alias("d")
+        found = good.select(day).distinct().limit(MAX_BATCH_DAYS + 1).collect()
+        days = [r.d for r in found] if len(found) <= MAX_BATCH_DAYS else None
+        if found:
+            held = None
+            if table_exists(spark, telemetry_path):
+                held = scan_telemetry(spark, telemetry_path, days)
+            new = insert_if_absent(held, good, ["msg_uuid"], ["id"], MAX_BROADCAST_KEYS)
+            append_telemetry(new, telemetry_path)
+        bad = quarantined(rows)
+        if mode == "quarantine" and not bad.isEmpty():
+            bad.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/batch={batch}")
+    finally:
+        rows.unpersist()
 
 
 def collect_stream(
