@@ -12,10 +12,15 @@ def dedup_first(df: DataFrame, keys: list[str], order: list[str] | None = None)
     An aggregate, so that copies meet within each task before the shuffle: a key with very
     many copies costs each task one row.
     """
-    order = order or []
-    row = F.struct(*order, *[c for c in df.columns if c not in order])
-    first = df.groupBy(*keys).agg(F.min(row).alias("_first"))
-    return first.select(*[F.col("_first")[c].alias(c) for c in df.columns])
+    order = [c for c in order or [] if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    if not order and not rest:
+        return df.select(*keys).distinct()
+    first = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("_first"))
+    # The keys come from the grouping, not from the row: a join on them needs no new shuffle.
+    return first.select(*[
+        F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns
+    ])
 
 
 def insert_if_absent(

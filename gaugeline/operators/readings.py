@@ -90,21 +90,26 @@ def gpus_response(telemetry: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame
 
 def telemetry_response(
     telemetry: DataFrame,
-    requested: DataFrame,
+    requested: DataFrame | list[str],
     start_time: str | None = None,
     end_time: str | None = None,
     page_size: int = PAGE_SIZE,
 ) -> DataFrame:
     """``{gpu_id, entries}`` for every ``gpu_id`` of ``requested``, entries by time, in pages.
 
+    A list of ids is a filter of the scan; a table of them, as large as you like, a join.
     ``gpu_id`` echoes the requested id, which is looked up as ``uuid``. A GPU without rows in
     the window gets one page with no entries. Equal times are ordered by the row ``id``.
     """
     start, end = resolve_window(start_time, end_time)
-    asked = requested.select("gpu_id").distinct()
-    rows = in_time_window(telemetry, start, end).join(
-        asked.select(F.col("gpu_id").alias("uuid")), "uuid", "left_semi"
-    )
+    rows = in_time_window(telemetry, start, end)
+    if isinstance(requested, list):
+        ids = sorted(set(requested))
+        asked = telemetry.sparkSession.createDataFrame([(i,) for i in ids], "gpu_id string")
+        rows = rows.filter(F.col("uuid").isin(ids))
+    else:
+        asked = requested.select("gpu_id").distinct()
+        rows = rows.join(asked.select(F.col("gpu_id").alias("uuid")), "uuid", "left_semi")
     entry = F.struct(*ENTRY_COLUMNS)
     keyed = rows.withColumns({"_entry": entry, "_gpu": F.col("uuid")}).select(
         "_gpu", "timestamp", "id", "_entry"

@@ -204,12 +204,20 @@ def collect_stream(
     return _run(queue, store, checkpoint, trigger, available_now)
 
 
-def stream_dedup(df: DataFrame, keys: list[str], horizon: str, time: str = "timestamp") -> DataFrame:
+def stream_dedup(
+    df: DataFrame, keys: list[str], horizon: str, time: str = "timestamp", salts: int = 16
+) -> DataFrame:
     """Drop copies that arrive within ``horizon``; the state is bounded by it.
 
-    For copies of any age, insert into the sink if absent instead.
+    Copies are first dropped per key and input task, so that a key with very many of them
+    reaches the task that holds its state as at most ``salts`` rows. For copies of any
+    age, insert into the sink if absent instead.
     """
-    return df.withWatermark(time, horizon).dropDuplicatesWithinWatermark(keys)
+    salted = df.withWatermark(time, horizon).withColumn(
+        "_salt", F.pmod(F.spark_partition_id(), F.lit(salts))
+    )
+    fewer = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
+    return fewer.dropDuplicatesWithinWatermark(keys)
 
 
 def unacked_stream(
@@ -220,10 +228,12 @@ def unacked_stream(
 ) -> DataFrame:
     """Deliveries (``lease_id``, ``sent_at``) without an ``acked_at`` within ``timeout``.
 
-    A delivery is reported once both watermarks have passed its time-out.
+    A delivery is reported once both watermarks have passed its time-out. Repeated
+    acknowledgements are dropped before they meet the deliveries.
     """
     sent = sends.withWatermark("sent_at", delay)
-    acked = acks.select(F.col("lease_id").alias("ack_id"), "acked_at").withWatermark("acked_at", delay)
+    once = stream_dedup(acks.select("lease_id", "acked_at"), ["lease_id", "acked_at"], delay, "acked_at")
+    acked = once.withColumnRenamed("lease_id", "ack_id")
     in_time = (
         (F.col("lease_id") == F.col("ack_id"))
         & (F.col("acked_at") >= F.col("sent_at"))

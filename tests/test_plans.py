@@ -35,6 +35,7 @@ def test_fetch_per_owner_keeps_candidates_before_the_shuffle(spark):
 
 
 def test_scan_reads_only_what_is_asked(spark, tmp_path):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     path = str(tmp_path / "t")
     adapters.telemetry(adapters.load(spark, SF)).write.parquet(path)
     table = spark.read.parquet(path)

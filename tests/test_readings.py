@@ -73,6 +73,8 @@ def test_response(spark):
     got = {r.gpu_id: [e.timestamp for e in r.entries] for r in readings.telemetry_response(rows, asked).collect()}
     assert got["none"] == [] and len(got["A"]) == 3 and got["A"] == sorted(got["A"])
     assert set(got) == {"A", "none"}
+    listed = readings.telemetry_response(rows, ["A", "none"])
+    assert {r.gpu_id: len(r.entries) for r in listed.collect()} == {"A": 3, "none": 0}
 
 
 def test_response_of_a_hot_gpu_in_pages(spark):

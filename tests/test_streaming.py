@@ -99,7 +99,8 @@ def test_unacked(spark, tmp_path):
     df = spark.createDataFrame(rows, "lease_id string, sent_at timestamp, after int")
     df.write.parquet(str(tmp_path / "in"))
     source = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
-    acked = source.filter("after IS NOT NULL").select(
+    twice = source.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(50))))
+    acked = twice.filter("after IS NOT NULL").select(
         "lease_id", F.expr("sent_at + make_dt_interval(0, 0, 0, after)").alias("acked_at"))
     lost = pipeline.unacked_stream(source.select("lease_id", "sent_at"), acked)
     lost.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).trigger(
