@@ -112,13 +112,20 @@ def _checked_fields(text: str) -> str:
     """Any JSON object as ``struct(ok, fields)``, every member's type checked."""
     text_keys = ", ".join(f"'{c}'" for c in (*TEXT_COLUMNS, "timestamp"))
     wrong = f"""
-        exists(e, x -> (x.k IN ({text_keys}) AND x.t NOT IN ('STRING', 'VOID'))
-          OR (x.k = 'value' AND x.t NOT IN ('BIGINT', 'DOUBLE', 'VOID') AND NOT startswith(x.t, 'DECIMAL')))"""
+        exists(e, x -> (x.k IN ({text_keys}) AND x.t <> 'STRING')
+          OR (x.k = 'value' AND x.t NOT IN ('BIGINT', 'DOUBLE') AND NOT startswith(x.t, 'DECIMAL')))"""
+    # Repeated names are rare: only then are the earlier ones looked for and left out.
+    last = """
+        CASE WHEN size(array_distinct(transform(e, x -> x.k))) = size(e) THEN e
+             ELSE filter(e, (x, i) -> NOT exists(slice(e, i + 2, size(e)), y -> y.k = x.k)) END"""
+    by_name = f"map_from_entries(transform({last}, x -> struct(x.k, x.v)))"
     fields = ", ".join(
-        f"'{c}', {_last(c, 'double' if c == 'value' else 'string')}" for c in READING_COLUMNS
+        f"'{c}', try_variant_get(try_element_at(m, '{c}'), '$', '{'double' if c == 'value' else 'string'}')"
+        for c in READING_COLUMNS
     )
-    ok = f"e IS NOT NULL AND NOT coalesce({wrong}, true)"
-    return _let("e", _members(text, READING_COLUMNS), f"named_struct('ok', {ok}, 'fields', named_struct({fields}))")
+    return _let("e", f"filter({_members(text, READING_COLUMNS)}, x -> x.t <> 'VOID')", f"""
+        named_struct('ok', e IS NOT NULL AND NOT coalesce({wrong}, true),
+                     'fields', {_let('m', by_name, f'named_struct({fields})')})""")
 
 
 def parse_payload(df: DataFrame, payload: str = "payload") -> DataFrame:

@@ -70,7 +70,8 @@ def parse_rfc3339(c: Column) -> Column:
 def format_rfc3339nano(c: Column) -> Column:
     """Timestamp to text with the fraction's trailing zeros removed; NULL gives ``""``."""
     text = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    short = F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    # The point is always there, so zeros of the seconds are out of reach.
+    short = F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
     return F.coalesce(F.concat(short, F.lit("Z")), F.lit(""))
 
 

@@ -125,6 +125,12 @@ def as_of(lease_table: DataFrame) -> dt.datetime:
     return (row[0] + dt.timedelta(seconds=5)).replace(tzinfo=dt.timezone.utc)
 
 
+def after_first_lease(lease_table: DataFrame) -> dt.datetime:
+    """Five seconds after the first lease was served."""
+    row = lease_table.agg(F.min(F.col("served_at").cast("timestamp_ntz"))).first()
+    return (row[0] + dt.timedelta(seconds=5)).replace(tzinfo=dt.timezone.utc)
+
+
 def busiest_gpu(events: DataFrame) -> str:
     """The GPU with the most readings; the least id of several."""
     counted = readings(events).groupBy("uuid").agg(F.count(F.lit(1)).alias("n"))

@@ -426,12 +426,11 @@ def _(spark, sf_dir):
 
 
 def leased_rows(events: DataFrame) -> DataFrame:
-    """Message keys with their lease; errors are in their lease twice."""
+    """Message keys with their lease."""
     batches = queue.lease_batches(A.owned(events))
-    leased = batches.select(
+    return batches.select(
         "id", "msg_uuid", F.concat_ws("-", F.lit("lease"), "owner", "batch").alias("lease_id")
     )
-    return leased
 
 
 @query("persist_counts", S.with_(S.OWNED, f"""
@@ -555,17 +554,20 @@ def _(spark, sf_dir):
     )
 
 
-@query("exclude_outstanding", S.with_(S.STATES, """
+@query("exclude_outstanding", S.with_(S.LEASES, """
     SELECT id, topic, msg_uuid FROM (
-      SELECT id, topic, msg_uuid FROM queue WHERE partition_key BETWEEN 0 AND 255 AND "timestamp" >= TIMESTAMP '2024-01-15 00:00:00'
-      ORDER BY id LIMIT 1000)
-    WHERE id NOT IN (SELECT unnest(ids) FROM status WHERE status = 'in_flight')"""))
-def _(spark, sf_dir):
+      SELECT id, topic, msg_uuid FROM queue WHERE partition_key BETWEEN 0 AND 255 ORDER BY id LIMIT 1000)
+    WHERE id NOT IN (
+      SELECT unnest(ids) FROM leases l LEFT JOIN acks a USING (lease_id),
+             (SELECT min(served_at) + INTERVAL 5 SECOND AS now FROM leases) c
+      WHERE l.served_at <= c.now AND c.now - l.served_at <= INTERVAL 30 SECOND
+        AND (a.acked_at IS NULL OR a.acked_at > c.now OR a.acked_at - l.served_at > INTERVAL 30 SECOND))"""))
+def _(spark, sf_dir):
+    """A fetch while the first lease is out."""
     events = A.load(spark, sf_dir)
     granted = A.leases(events)
-    outstanding = leases.outstanding_leases(granted, A.acks(granted), A.as_of(granted))
-    late = A.queue(events).filter(F.col("created_at") >= F.lit("2024-01-15 00:00:01").cast("timestamp"))
-    batch = queue.fetch_batch(late, 0, 255).drop("payload")
+    outstanding = leases.outstanding_leases(granted, A.acks(granted), A.after_first_lease(granted))
+    batch = queue.fetch_batch(A.queue(events), 0, 255).drop("payload")
     return queue.exclude_outstanding(batch, outstanding)
 
 
