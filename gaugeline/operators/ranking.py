@@ -8,22 +8,21 @@ from pyspark.sql import functions as F
 BLOCK_BITS = 20
 
 
-def fifo_rank(df: DataFrame, groups: list[str], order: str = "id", rank: str = "rank") -> DataFrame:
-    """1, 2, 3, … within each group in the order of a unique LONG column.
-
-    Ids are cut into blocks of 2^20. A block holds at most that many rows whatever the skew,
-    so rows are numbered within (group, block), and the block's start is a running sum over
-    block counts. Those sums go over blocks of blocks first, which bounds every window by
-    2^20 block counts even for sparse ids. Rows are shuffled once; the counts read
-    only the group and id columns and are combined before their shuffle. Rows without a
-    group are left out.
-    """
+def _blocked(df: DataFrame, groups: list[str], order: str) -> DataFrame:
+    """Rows that have a group, with the block of 2^20 ids they fall into."""
     known = df.filter(" AND ".join(f"{g} IS NOT NULL" for g in groups))
-    blocked = known.withColumn("_block", F.shiftright(F.col(order), BLOCK_BITS))
-    keys = [*groups, "_block"]
+    return known.withColumn("_block", F.shiftright(F.col(order), BLOCK_BITS))
+
+
+def _block_starts(blocked: DataFrame, groups: list[str]) -> DataFrame:
+    """How many rows of its group come before each block, as ``_start``.
 
+    Running sums go over blocks of blocks first, which bounds every window by 2^20 block
+    counts even for sparse ids. The counts read only the group and id columns and are
+    combined before their shuffle.
+    """
     counts = (
-        blocked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        blocked.groupBy(*groups, "_block").agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_span", F.shiftright("_block", BLOCK_BITS))
     )
     spans = counts.groupBy(*groups, "_span").agg(F.sum("_n").alias("_n"))
@@ -36,15 +35,26 @@ def fifo_rank(df: DataFrame, groups: list[str], order: str = "id", rank: str = "
     block_window = Window.partitionBy(*groups, "_span").orderBy("_block").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    starts = (
+    return (
         counts.withColumn("_in_span", F.coalesce(F.sum("_n").over(block_window), F.lit(0)))
         .join(spans, [*groups, "_span"])
-        .select(*keys, (F.col("_span_start") + F.col("_in_span")).alias("_start"))
+        .select(*groups, "_block", (F.col("_span_start") + F.col("_in_span")).alias("_start"))
     )
+
+
+def fifo_rank(df: DataFrame, groups: list[str], order: str = "id", rank: str = "rank") -> DataFrame:
+    """1, 2, 3, … within each group in the order of a unique LONG column.
+
+    Ids are cut into blocks of 2^20. A block holds at most that many rows whatever the skew,
+    so rows are numbered within (group, block), and the block's start is added. Rows are
+    shuffled once. Rows without a group are left out.
+    """
+    blocked = _blocked(df, groups, order)
+    keys = [*groups, "_block"]
     in_block = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
     return (
         blocked.withColumn("_nth", in_block)
-        .join(starts, keys)
+        .join(_block_starts(blocked, groups), keys)
         .withColumn(rank, F.col("_start") + F.col("_nth"))
         .select(*df.columns, rank)
     )
@@ -82,11 +92,22 @@ def pages(
 
 
 def first_per_group(df: DataFrame, groups: list[str], order: str, limit: int) -> DataFrame:
-    """The ``limit`` first rows of each group.
+    """The ``limit`` first rows of each group, in the order of a unique LONG column.
 
     Each input split first keeps its own candidates and a bounded number of merge groups keeps
-    theirs, so that the last step sees at most 64 × ``limit`` rows per group.
+    theirs, so that the last step sees at most 64 × ``limit`` rows per group. Spark keeps
+    candidates before a shuffle up to a threshold; for larger limits only the blocks that
+    can hold the first rows are kept, as their starts tell, and numbered.
     """
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if limit > threshold:
+        blocked = _blocked(df, groups, order)
+        keys = [*groups, "_block"]
+        starts = _block_starts(blocked, groups).filter(F.col("_start") < limit)
+        nth = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+        near = blocked.join(starts, keys).withColumn("_nth", nth)
+        return near.filter(F.col("_start") + F.col("_nth") <= limit).select(*df.columns)
+
     salted = df.withColumn("_merge", F.pmod(F.spark_partition_id(), F.lit(64)))
 
     def keep(rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -46,14 +46,23 @@ def test_fetch_batch(spark):
     assert queue.fetch_batch(q, 10, 20).count() == 11
 
 
-def test_fetch_per_owner_with_a_hot_owner(spark):
+@pytest.mark.parametrize("limit", [50, 1500])
+def test_fetch_per_owner_with_a_hot_owner(spark, limit):
     q = messages(spark, 5000, "if(id % 10 < 8, 1, 200)").repartition(16)
-    got = queue.fetch_batch_per_owner(q, queue.partition_ranges(spark, 4), 50).collect()
+    got = queue.fetch_batch_per_owner(q, queue.partition_ranges(spark, 4), limit).collect()
     plain = {0: [], 3: []}
     for i in range(5000):
         plain[0 if i % 10 < 8 else 3].append(i * 3)
     for owner, ids in plain.items():
-        assert sorted(r.id for r in got if r.owner == owner) == ids[:50]
+        assert sorted(r.id for r in got if r.owner == owner) == ids[:limit]
+
+
+def test_first_rows_over_several_blocks(spark):
+    df = messages(spark, 4000, "id % 2", f"id * {1 << 17}").repartition(5)
+    got = ranking.first_per_group(df, ["partition_key"], "id", 1200).collect()
+    for key in (0, 1):
+        want = [i << 17 for i in range(4000) if i % 2 == key][:1200]
+        assert sorted(r.id for r in got if r.partition_key == key) == want
 
 
 @pytest.mark.parametrize("ids", ["id", "id * 1000003", "id * 4611686018427 + 5", "id - 700"])
