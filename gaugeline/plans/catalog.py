@@ -731,7 +731,7 @@ def _(spark, sf_dir):
     )
 
 
-@query("pipeline", S.with_(S.TELEMETRY, f"""
+@query("telemetry_pipeline", S.with_(S.TELEMETRY, f"""
     SELECT {TELEMETRY_SQL} FROM telemetry""".replace(
         '"ingested_at"', "TIMESTAMP '2024-02-01 00:00:00' AS ingested_at")))
 def _(spark, sf_dir):
