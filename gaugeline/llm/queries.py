@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import mixing, packing, token_counts, token_records
+from gaugeline.llm import embedding_links, mixing, packing, simhash, token_counts, token_records
 from gaugeline.llm.common import load
 from gaugeline.session import work_folder
 
@@ -82,6 +82,12 @@ def _(spark, sf_dir):
         "doc_id", F.col("before").alias("start"), "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op3_simhash")
+def _(spark, sf_dir):
+    found = simhash.near_duplicates(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query("op4_packing")
 def _(spark, sf_dir):
     pieces = packing.pack_documents(load(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
@@ -89,6 +95,25 @@ def _(spark, sf_dir):
                          "sequence_id", "offset")
 
 
+LINKS_SQL = """
+WITH RECURSIVE u AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM u a JOIN u b ON a.vec_id <> b.vec_id
+      AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reach(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN l ON r.y = l.x),
+c AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+n AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
+SELECT e.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN c ON e.vec_id = c.x LEFT JOIN n ON e.vec_id = n.x"""
+
+
+@query("op6_embedding_links", LINKS_SQL)
+def _(spark, sf_dir):
+    return embedding_links.linked_vectors(load(spark, sf_dir, "embeddings"))
+
+
 @query("op9_token_counts")
 def _(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
