@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import embedding_links, mixing, packing, simhash, token_counts, token_records
+from gaugeline.llm import embedding_links, mixing, packing, simhash, token_counts, token_records, warc_zip
 from gaugeline.llm.common import load
 from gaugeline.session import work_folder
 
@@ -114,6 +114,26 @@ def _(spark, sf_dir):
     return embedding_links.linked_vectors(load(spark, sf_dir, "embeddings"))
 
 
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+w AS (SELECT *, sha1(html) AS hex, max(page_id) OVER (PARTITION BY html) AS last FROM p)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST(((('0x' || substr(hex || '0', 5 * i // 4 + 1, 2))::INTEGER >> (3 - 5 * i % 4)) & 31) + 1 AS BIGINT), 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
+FROM w"""
+
+
+@query("op8_warc_zip", WARC_SQL)
+def _(spark, sf_dir):
+    folder = work_folder(spark, "warc-zip")
+    packages = warc_zip.write_packages(load(spark, sf_dir, "pages"), folder)
+    return warc_zip.read_packages(packages, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op9_token_counts")
 def _(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")

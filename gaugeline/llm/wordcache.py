@@ -14,9 +14,11 @@ from collections.abc import Callable, Iterable
 import numpy as np
 
 #: Words held by each of the two generations of a cache.
-GENERATION = 400_000
+GENERATION = 300_000
 #: Longer words are encoded anew each time.
 LONGEST = 64
+#: Punctuation that, after a word, begins a token of its own.
+AFTER = ".,!?;:#$%&*|)"
 
 # White space other than space and newline, in the widest reading of the word.
 _ODD_SPACE = re.compile(
@@ -68,7 +70,8 @@ class WordEncoder:
         self.prefix = " " if spaces else ""
         wide = self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16
         self.dtype = np.dtype("<u4" if wide else "<u2")
-        self.cache = Generations()
+        self.cache, self.cores, self.tails = Generations(), Generations(), {}
+        self.lower = self.whole("AÉ") == self.whole("aé")
         # A special token between words keeps them apart in one call to the library.
         self.mark, self.mark_id = max(
             ((t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special),
@@ -79,6 +82,22 @@ class WordEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _words(self, words: list[str]) -> list[bytes]:
+        """A word and the punctuation after it are tokenized apart, and few words are new without it."""
+        cores, tails = [], []
+        for w in words:
+            core = w.rstrip(AFTER)
+            if not core or not core[-1].isalnum() or "<|" in w or "|>" in w:
+                core = w
+            tails.append(w[len(core):])
+            cores.append(core.lower() if self.lower and max(core, default="") < "\u0130" else core)
+        known = self.cores.fill(cores, self._cores)
+        if len(self.tails) > 10_000:
+            self.tails.clear()
+        for tail in set(tails).difference(self.tails):
+            self.tails[tail] = self.whole(tail) if tail else b""
+        return [known[c] + self.tails[t] for c, t in zip(cores, tails, strict=True)]
+
+    def _cores(self, words: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for begin in range(0, len(words), 256):
             some = words[begin : begin + 256]
