@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeline.llm import embedding_links, mixing, packing, simhash, token_counts, token_records, warc_zip
+import corpus_pipeline
+from gaugeline.llm import (
+    bm25,
+    embedding_links,
+    mixing,
+    packing,
+    quality,
+    simhash,
+    token_counts,
+    token_records,
+    toxicity,
+    warc_zip,
+)
 from gaugeline.llm.common import load
 from gaugeline.session import work_folder
 
@@ -95,6 +107,11 @@ def _(spark, sf_dir):
                          "sequence_id", "offset")
 
 
+@query("op5_toxicity")
+def _(spark, sf_dir):
+    return toxicity.toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 LINKS_SQL = """
 WITH RECURSIVE u AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
@@ -114,6 +131,11 @@ def _(spark, sf_dir):
     return embedding_links.linked_vectors(load(spark, sf_dir, "embeddings"))
 
 
+@query("op7_quality")
+def _(spark, sf_dir):
+    return quality.quality(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 WARC_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 w AS (SELECT *, sha1(html) AS hex, max(page_id) OVER (PARTITION BY html) AS last FROM p)
@@ -141,3 +163,30 @@ def _(spark, sf_dir):
     return counted.select(
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+BM25_SQL = """
+WITH w AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\\x20\\x09-\\x0D]+')) AS t FROM documents),
+p AS (SELECT doc_id, t, count(*) AS tf FROM w GROUP BY ALL),
+l AS (SELECT doc_id, sum(tf) AS dl FROM p GROUP BY doc_id),
+g AS (SELECT (SELECT count(*) FROM documents) AS n, (SELECT sum(dl) FROM l) / (SELECT count(*) FROM documents) AS mean),
+d AS (SELECT t, count(*) AS df FROM p GROUP BY t),
+i AS (SELECT p.*, l.dl, ln(1 + (g.n - df + 0.5) / (df + 0.5)) AS idf, g.mean FROM p JOIN l USING (doc_id) JOIN d USING (t), g),
+s AS (SELECT q.doc_id AS query_id, i.doc_id, sum(q.tf * i.idf * i.tf * 2.2 / (i.tf + 1.2 * (0.25 + 0.75 * i.dl / i.mean))) AS score
+      FROM p q JOIN i USING (t) WHERE q.doc_id % 20 = 0 GROUP BY ALL),
+-- Scores that are equal but for rounding are ties.
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 6) DESC, doc_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, round(score, 4) AS score FROM r WHERE rank <= 10"""
+
+
+@query("op10_bm25", BM25_SQL)
+def _(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents")
+    found = bm25.search(docs, docs.where("doc_id % 20 = 0"))
+    return found.select("query_id", "rank", "doc_id", F.round("score", 4).alias("score"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def _(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)
