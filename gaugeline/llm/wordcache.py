@@ -9,7 +9,7 @@ yet known are encoded by the library, many in one call.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
@@ -72,6 +72,10 @@ class WordEncoder:
         self.dtype = np.dtype("<u4" if wide else "<u2")
         self.cache, self.cores, self.tails = Generations(), Generations(), {}
         self.lower = self.whole("AÉ") == self.whole("aé")
+        # Tokens that begin with a space, or that end a word.
+        self.edge = np.zeros(self.tokenizer.get_vocab_size(with_added_tokens=True), bool)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.edge[i] = token.startswith("Ġ") if spaces else token.endswith("</w>")
         # A special token between words keeps them apart in one call to the library.
         self.mark, self.mark_id = max(
             ((t.content, i) for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special),
@@ -97,7 +101,28 @@ class WordEncoder:
             self.tails[tail] = self.whole(tail) if tail else b""
         return [known[c] + self.tails[t] for c, t in zip(cores, tails, strict=True)]
 
-    def _cores(self, words: list[str]) -> list[bytes]:
+    def _cores(self, words: list[str]) -> Iterator[bytes]:
+        """Encode words joined by spaces, many in one call, where the ids tell them apart."""
+        plain = [w for w in words if (w and "<|" not in w and "|>" not in w if self.prefix else w.isalpha())]
+        found: dict[str, bytes] = {}
+        for begin in range(0, len(plain), 256):
+            some = plain[begin : begin + 256]
+            found.update(zip(some, self._joined(some), strict=True))
+        rest = [w for w in words if w not in found]
+        found.update(zip(rest, self._marked(rest), strict=True))
+        return map(found.__getitem__, words)
+
+    def _joined(self, words: list[str]) -> list[bytes]:
+        text = "".join(" " + w for w in words) if self.prefix else " ".join(words)
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+        at = np.flatnonzero(self.edge[ids])
+        if len(at) != len(words):
+            return self._marked(words)
+        begins = at if self.prefix else np.append(0, at[:-1] + 1)
+        return [ids[a:b].tobytes() for a, b in zip(begins.tolist(), np.append(begins[1:], len(ids)).tolist(), strict=True)]
+
+    def _marked(self, words: list[str]) -> list[bytes]:
+        """Encode words with a special token between them."""
         out: list[bytes] = []
         for begin in range(0, len(words), 256):
             some = words[begin : begin + 256]
@@ -105,9 +130,9 @@ class WordEncoder:
                 out += [self.whole(self.prefix + w) for w in some]
                 continue
             ids = np.array(
-                self.tokenizer.encode(
-                    self.mark.join(self.prefix + w for w in some), add_special_tokens=False
-                ).ids, self.dtype)
+                self.tokenizer.encode_batch_fast(
+                    [self.mark.join(self.prefix + w for w in some)], add_special_tokens=False
+                )[0].ids, self.dtype)
             cuts = np.flatnonzero(ids == self.mark_id)
             begins, ends = np.append(0, cuts + 1), np.append(cuts, len(ids))
             out += [ids[a:b].tobytes() for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
@@ -121,7 +146,8 @@ class WordEncoder:
             if not text or self.prefix and not splits_at_spaces(text):
                 docs.append(None)
                 continue
-            words = text.split(" ")
+            # Without a prefix, white space of any kind only parts words.
+            words = text.split(" ") if self.prefix else text.replace("\n", " ").split(" ")
             keys.update(words[1:] if self.prefix else words)
             docs.append(words)
         long = {w for w in keys if len(w) > LONGEST}
