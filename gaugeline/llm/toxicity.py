@@ -6,9 +6,10 @@ running) become lattices: each sign may stand for any of its letters, for nothin
 the same; each choice has a cost. Viterbi search over the last two letters finds the reading that is likeliest
 under a letter trigram model, which is counted over all documents. All other words stand as they are.
 
-Score. A logistic unit over the entries of a small lexicon, looked up among the text's own and restored words. The lexicon is
-chosen greedily from a bounded sample of labelled documents: each word must account for toxic documents that no
-word before it does, so that words which merely come along in copies of one toxic document are not taken. Whole words go before word beginnings.
+Score. A noisy-or over the entries of a lexicon, looked up among the text's own and restored words: each entry that is there makes
+the text toxic with the share of toxic documents among those that have it. The lexicon comes from a bounded sample of labelled
+documents, in which copies of a document count once: whole words that are surely in toxic documents mostly, then, greedily,
+beginnings of words for toxic documents that have no such word.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,7 +32,9 @@ from gaugeline.llm.labelled import id_remainder, training_rows
 
 TRAIN_ROWS = 8_000
 CANDIDATES = 2_000  # words with the strongest tie to the label that the lexicon is chosen from
-LEAST_DOCS = 3  # toxic documents that a lexicon word must add
+LEAST_DOCS = 5  # toxic documents that a lexicon entry must be in, copies counted once
+SURE = 0.7  # least lower bound (95 %) of the share of toxic documents among those with an entry
+COPY_MARKS = 4  # least hashes of three-word runs; documents that share one count as copies
 BEGINNINGS = range(5, 9)  # letters of word beginnings that a lexicon may have
 LONGEST = 48  # characters of a span that is read as a lattice
 
@@ -144,12 +148,13 @@ def features(text: str | None, model: LetterModel) -> set[str]:
 class Model:
     letters: LetterModel
     weights: dict[str, float]
-    bias: float
+    base: float
 
     def __post_init__(self):
         letter = r"[^\W\d_]"
+        # Each factor is the chance that the text is not toxic in spite of the entry.
         self.entries = [
-            (e[:-1], re.compile(rf"(?<!{letter}){re.escape(e[:-1])}" + (letter if e[-1] == "~" else rf"(?!{letter})")), w)
+            (e[:-1], re.compile(rf"(?<!{letter}){re.escape(e[:-1])}" + (letter if e[-1] == "~" else rf"(?!{letter})")), 1 - w)
             for e, w in self.weights.items()]
 
     def score(self, text: str | None) -> float:
@@ -157,8 +162,11 @@ class Model:
         hidden = restored_words(low, self.letters)
         if hidden:
             low += " " + " ".join(sorted(hidden))
-        total = self.bias + sum(w for stem, pattern, w in self.entries if stem in low and pattern.search(low))
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))
+        clean = 1 - self.base
+        for stem, pattern, factor in self.entries:
+            if stem in low and pattern.search(low):
+                clean *= factor
+        return 1 - clean
 
 
 def letter_model(docs: DataFrame, text: str = "text") -> LetterModel:
@@ -185,13 +193,19 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_R
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 64):
-            words = [sorted(features(t, shared.value)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.string()))], names=["y", "words"])
-
-    sample = saved(training_rows(docs, labels, label, learn, rows, key, text).mapInArrow(read, "y int, words array<string>"), "toxic-sample")
+            texts = batch.column(1).to_pylist()
+            words = [sorted(features(t, shared.value)) for t in texts]
+            marks = [copy_marks(t) for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(words, pa.list_(pa.string())), pa.array(marks, pa.list_(pa.int64()))],
+                names=["y", "words", "marks"])
+
+    sample = saved(
+        training_rows(docs, labels, label, learn, rows, key, text)
+        .mapInArrow(read, "y int, words array<string>, marks array<long>"), "toxic-sample")
     toxic, clean = (sample.where(f"y = {y}").count() for y in (1, 0))
     if not toxic or not clean:
-        return Model(letters, {}, -30.0 if not toxic else 30.0)
+        return Model(letters, {}, 0.0 if not toxic else 1.0)
     rate = F.col("toxic") / toxic - F.col("clean") / clean
     strength = F.abs(rate) / F.sqrt((F.col("toxic") + F.col("clean") + 1.0) / (toxic + clean)) * F.sqrt(F.col("toxic") + F.col("clean"))
     candidates = (
@@ -202,45 +216,60 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_R
     names = sorted(r.w for r in candidates.select("w").collect())
     place = {w: i for i, w in enumerate(names)}
     held = F.array_intersect("words", F.array(*map(F.lit, names))) if names else F.array().cast("array<string>")
-    found = sample.select("y", held.alias("words")).collect()
-    found.sort(key=lambda r: (r.y, r.words))
+    found = sample.select("y", held.alias("words"), "marks").collect()
+    found.sort(key=lambda r: (r.y, r.words, r.marks))
+    found = one_of_copies(found)
     x = np.zeros((len(found), len(names)), bool)
     for i, r in enumerate(found):
         x[i, [place[w] for w in r.words]] = True
     y = np.array([r.y for r in found])
-    # Whole words first; beginnings only for toxic documents that no whole word is in.
-    whole = np.array([n[-1] == "$" for n in names], bool)
-    chosen = choose(x & whole, y, [])
-    chosen = choose(x, y, chosen)
-    weights, bias = logistic(x[:, chosen], y)
-    return Model(letters, {names[j]: float(w) for j, w in zip(chosen, weights, strict=True)}, float(bias))
+    share, chosen = choose(x, y, np.array([n[-1] == "$" for n in names], bool))
+    rest = y[~x[:, chosen].any(axis=1)]
+    return Model(letters, {names[j]: float(share[j]) for j in chosen}, float((rest.sum() + 0.1) / (len(rest) + 1)) if len(rest) else 0.1)
 
 
-def choose(x: np.ndarray, y: np.ndarray, chosen: list[int]) -> list[int]:
-    """Entries, one after another, that add most toxic documents over clean ones among those no earlier entry is in.
+def copy_marks(text: str) -> list[int]:
+    """The least hashes of the text's three-word runs under some multipliers."""
+    words = text.encode().lower().split()
+    runs = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    h = np.fromiter(map(xxhash.xxh64_intdigest, runs), "u8", len(runs))
+    return [int((h * np.uint64(2 * i + 0x9E3779B97F4A7C15)).min().view("i8")) for i in range(COPY_MARKS)]
 
-    ``chosen`` are taken already. A clean document weighs three times a toxic one.
-    """
-    chosen = list(chosen)
-    left = ~x[:, chosen].any(axis=1)
-    while x.shape[1]:
-        gain = x[left & (y == 1)].sum(axis=0) - 3 * x[left & (y == 0)].sum(axis=0).astype("i8")
+
+def one_of_copies(found: list) -> list:
+    """The first row of each group that shared marks connect, labels apart."""
+    owner: dict[tuple[int, int], int] = {}
+    up = list(range(len(found)))
+
+    def top(i: int) -> int:
+        while up[i] != i:
+            up[i] = up[up[i]]
+            i = up[i]
+        return i
+
+    for i, r in enumerate(found):
+        for m in r.marks:
+            j = top(owner.setdefault((r.y, m), i))
+            up[max(j, top(i))] = min(j, top(i))
+    return [r for i, r in enumerate(found) if top(i) == i]
+
+
+def choose(x: np.ndarray, y: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """Share of toxic documents by entry, and the entries chosen: all sure whole words, then sure beginnings one by one."""
+    toxic, all_ = x[y == 1].sum(axis=0), x.sum(axis=0)
+    n = np.maximum(all_, 1)
+    rate, z = toxic / n, 1.96
+    bound = (rate + z * z / (2 * n) - z * np.sqrt(rate * (1 - rate) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    sure = (bound >= SURE) & (toxic >= LEAST_DOCS)
+    chosen = np.flatnonzero(sure & whole).tolist()
+    left = ~x[:, chosen].any(axis=1) & (y == 1)
+    while sure.any():
+        gain = x[left].sum(axis=0) * sure
         if gain.max() < LEAST_DOCS:
             break
         chosen.append(int(gain.argmax()))
         left &= ~x[:, chosen[-1]]
-    return chosen
-
-
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.02) -> tuple[np.ndarray, float]:
-    """Weights and bias by Newton's method with a small ridge."""
-    z = np.column_stack([x, np.ones(len(y))]).astype("f8")
-    w = np.zeros(z.shape[1])
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        hess = (z * (p * (1 - p))[:, None]).T @ z + ridge * np.eye(len(w))
-        w -= np.linalg.solve(hess, z.T @ (p - y) + ridge * w)
-    return w[:-1], w[-1]
+    return (toxic + 0.1) / (all_ + 1), chosen
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> Column:
