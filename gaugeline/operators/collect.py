@@ -57,13 +57,12 @@ def persist_telemetry(
     ingested_at: Column | None = None,
     order: tuple[str, ...] = ("id",),
     mode: str = "quarantine",
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """The rows that a batch of messages adds to ``telemetry``."""
     rows = storable(telemetry_rows(messages, mode))
     at = ingested_at if ingested_at is not None else F.current_timestamp()
     batch = rows.withColumn("ingested_at", at).select(*TELEMETRY_COLUMNS)
-    return insert_if_absent(telemetry, batch, ["msg_uuid"], list(order), broadcast_rows)
+    return insert_if_absent(telemetry, batch, ["msg_uuid"], list(order))
 
 
 def persist_counts(telemetry: DataFrame, rows: DataFrame, order: str = "id") -> DataFrame:

@@ -28,25 +28,26 @@ def insert_if_absent(
     batch: DataFrame,
     keys: list[str],
     order: list[str] | None = None,
-    broadcast_rows: int | None = None,
 ) -> DataFrame:
     """The rows of ``batch`` whose key is not in ``target``, one per key.
 
     Both sides have one row per key by then, so a hot key cannot skew the join, and only the
-    key columns of ``target`` are read. ``broadcast_rows`` is for small batches against a
-    large table: if the batch is counted to have no more rows, its keys are sent to the
-    scan of ``target``, which then shuffles nothing but the keys that match. Otherwise Spark
-    picks the join. A table that does not exist yet is None. Exact with one writer per table.
+    key columns of ``target`` are read. A table that does not exist yet is None. Exact with
+    one writer per table.
     """
     fresh = dedup_first(batch, keys, order)
     if target is None:
         return fresh
-    present = target.select(*keys)
-    if broadcast_rows is not None:
-        wanted = batch.select(*keys).distinct()
-        if wanted.limit(broadcast_rows + 1).count() <= broadcast_rows:
-            present = present.join(F.broadcast(wanted), keys, "left_semi")
-    return fresh.join(present, keys, "left_anti").select(*batch.columns)
+    return fresh.join(target.select(*keys), keys, "left_anti").select(*batch.columns)
+
+
+def matching_keys(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys of a large ``target`` that ``batch`` has too, for inserts of small batches.
+
+    For a batch whose size Spark knows (a table or a filled cache), its keys go to the scan of
+    ``target`` if they fit Spark's broadcast limit, and nothing but matching keys is shuffled.
+    """
+    return target.select(*keys).join(batch.select(*keys), keys, "left_semi")
 
 
 def insert_counts(

@@ -34,16 +34,14 @@ def owner_of(partition_key: Column, n: int, total: int = VIRTUAL_PARTITIONS) ->
     return F.least(F.floor(partition_key / per).cast("int"), F.lit(n - 1))
 
 
-def assign_owner(
-    df: DataFrame, ranges: DataFrame, total: int = VIRTUAL_PARTITIONS
-) -> DataFrame:
+def assign_owner(df: DataFrame, ranges: DataFrame) -> DataFrame:
     """Add ``owner`` by any range table; a key in several ranges gives a row for each.
 
-    Ranges become one row per key, at most ``total`` for ranges that do not overlap, so
-    this is an equality join with a side small enough for Spark to broadcast.
+    A key is owned if it lies in a range, both ends included, whatever the number of
+    partitions. Ranges become one row per key, so this is an equality join with a side as
+    small as the number of partitions.
     """
-    start = F.greatest(F.col("start").cast("int"), F.lit(0))
-    end = F.least(F.col("end").cast("int"), F.lit(total - 1))
+    start, end = F.col("start").cast("int"), F.col("end").cast("int")
     keys = (
         ranges.filter(start <= end)
         .select("owner", F.explode(F.sequence(start, end)).alias("partition_key"))

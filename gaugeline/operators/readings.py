@@ -116,8 +116,9 @@ def telemetry_response(
     )
     cut = pages(keyed, ["_gpu"], ["timestamp", "id"], F.col("_entry"), page_size, "entries")
     kind = cut.schema["entries"].dataType
-    return asked.join(cut, asked["gpu_id"] == cut["_gpu"], "left").select(
-        "gpu_id",
-        F.coalesce("page", F.lit(0).cast("bigint")).alias("page"),
-        F.coalesce("entries", F.array().cast(kind)).alias("entries"),
+    seen = rows.select(F.col("uuid").alias("gpu_id")).distinct()
+    none = asked.join(seen, "gpu_id", "left_anti").select(
+        "gpu_id", F.lit(0).cast("bigint").alias("page"), F.array().cast(kind).alias("entries")
     )
+    # No join of pages: those of one GPU stay spread over the tasks that cut them.
+    return cut.filter("_gpu IS NOT NULL").withColumnRenamed("_gpu", "gpu_id").unionByName(none)

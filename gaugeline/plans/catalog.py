@@ -830,6 +830,46 @@ def _drain(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(folder)
 
 
+@query("stream_publish_ids", S.with_(S.READINGS, """
+    SELECT count(*) AS messages, count(*) AS ids, count(*) AS msg_uuids FROM readings"""))
+def _(spark, sf_dir):
+    """Two publishers, one after the other, each with half of the readings: no id comes twice."""
+    rows = A.readings(A.load(spark, sf_dir))
+    folder = work_folder(spark, "queue")
+    for half in (0, 1):
+        pipeline.publish_batch(rows.filter(F.col("id") % 2 == half).drop("id"), folder, f"writer-{half}")
+    return tables.scan_queue(spark, folder).agg(
+        F.count("*").alias("messages"), F.count_distinct("id").alias("ids"),
+        F.count_distinct("msg_uuid").alias("msg_uuids"))
+
+
+@query("stream_replay", S.with_(S.READINGS, """
+    SELECT count(*) AS messages, count(*) AS stored FROM readings"""))
+def _(spark, sf_dir):
+    """A batch with random message ids published twice, and collected after each attempt."""
+    rows = A.readings(A.load(spark, sf_dir))
+    queued, folder = work_folder(spark, "queue"), work_folder(spark, "collected")
+    for attempt in (0, 1):
+        pipeline.publish_batch(rows, queued, "same")
+        pipeline.collect_batch(
+            tables.scan_queue(spark, queued), folder, work_folder(spark, "quarantine"), f"attempt-{attempt}")
+    stored = tables.scan_telemetry(spark, folder).agg(F.count("*").alias("stored"))
+    return tables.scan_queue(spark, queued).agg(F.count("*").alias("messages")).join(stored)
+
+
+@query("persist_redated", S.with_(S.READINGS, """
+    SELECT id, TIMESTAMP '2024-03-01 00:00:00' AS "timestamp" FROM readings"""))
+def _(spark, sf_dir):
+    """Messages published again with a later time: a message id is stored once, with its first time."""
+    rows = A.readings(A.load(spark, sf_dir))
+    folder = work_folder(spark, "collected")
+    for day in ("2024-03-01", "2024-03-09"):
+        queued = work_folder(spark, "queue")
+        pipeline.publish_batch(rows, queued, "same", keys=["id"], at=F.lit(f"{day} 00:00:00").cast("timestamp"))
+        pipeline.collect_batch(tables.scan_queue(spark, queued), folder, work_folder(spark, "quarantine"), day)
+    return tables.scan_telemetry(spark, folder).select("id", "timestamp")
+
+
 @query("stream_dedup", S.with_(S.QUEUE, 'SELECT id, msg_uuid, "timestamp" FROM queue'))
 def _(spark, sf_dir):
     """Every message twice within the horizon."""

@@ -12,6 +12,7 @@ from pyspark.sql import SparkSession
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A payload may repeat a key inside a member nobody reads; the last one counts.

@@ -72,7 +72,8 @@ def _readings(raw: DataFrame, mode: str, wanted: int = len(READING_COLUMNS)) ->
         failure = F.raise_error(
             F.concat(F.lit(f"expected {wanted} fields: "), F.col(_RECORD))
         ).cast("string")
-        return _typed(raw.withColumn("value", F.when(short, failure).otherwise(F.col("value"))))
+        # A filter, so that the check is made whatever columns are read in the end.
+        return _typed(raw.filter(F.when(short, failure).isNull()))
     raise ValueError(f"mode must be 'quarantine' or 'strict', not {mode!r}")
 
 

@@ -28,6 +28,17 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(where))
 
 
+def batch_complete(spark: SparkSession, path: str, batch: str) -> bool:
+    """Whether an ingest batch was written to its end."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{INGEST_BATCH}={batch}/_SUCCESS")
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def scan_queue(spark: SparkSession, path: str) -> DataFrame:
     """All queued messages; an absent table is empty."""
     if not table_exists(spark, path):

@@ -13,24 +13,19 @@ from gaugeline.functions.identity import assign_msg_uuid, fnv1a_partition
 from gaugeline.functions.payload import to_payload
 from gaugeline.functions.scalars import stamp_processed_at
 from gaugeline.operators.collect import quarantined, storable, telemetry_rows
-from gaugeline.operators.merge import insert_if_absent
+from gaugeline.operators.merge import insert_if_absent, matching_keys
 from gaugeline.operators.publish import queue_rows
 from gaugeline.schemas import FLUSH_INTERVAL, TELEMETRY_COLUMNS, TOPIC, VIRTUAL_PARTITIONS
 from gaugeline.sources.tables import (
     append_queue,
     append_telemetry,
+    batch_complete,
+    remove,
     scan_queue,
     scan_telemetry,
     table_exists,
 )
 
-# A batch touching more days than this looks at the whole table instead of at its days.
-MAX_BATCH_DAYS = 400
-# A batch of more keys than this is joined by shuffling instead of broadcasting them.
-MAX_BROADCAST_KEYS = 1_000_000
-# Row positions within a batch take the low bits of an id, the batch number the high ones.
-POSITION_BITS = 32
-
 
 def _run(
     stream: DataFrame,
@@ -50,17 +45,22 @@ def _batch_name(batch: DataFrame, batch_id: int) -> str:
     return f"{query}-{batch_id}"
 
 
-def _read_staged(rows: DataFrame, folder: str) -> DataFrame:
-    """``rows`` written once: a replay reads what the first complete attempt wrote."""
+def _read_staged(rows: DataFrame, folder: str, queue_path: str) -> tuple[DataFrame, int]:
+    """``rows`` written once, and the first id for them: a replay reads what the first complete attempt wrote.
+
+    Ids go on from the greatest one stored, which Spark finds in the file footers.
+    """
     spark = rows.sparkSession
     if not table_exists(spark, folder) or not table_exists(spark, f"{folder}/_done"):
         rows.write.mode("overwrite").parquet(f"{folder}/rows")
-        spark.range(1).write.mode("overwrite").parquet(f"{folder}/_done")
-    return spark.read.parquet(f"{folder}/rows")
+        greatest = scan_queue(spark, queue_path).agg(F.max("id")).head()[0]
+        first = 0 if greatest is None else greatest + 1
+        spark.range(first, first + 1).write.mode("overwrite").parquet(f"{folder}/_done")
+    return spark.read.parquet(f"{folder}/rows"), spark.read.parquet(f"{folder}/_done").head()[0]
 
 
-def number_rows(staged: DataFrame, batch_id: int, position: str = "_at") -> DataFrame:
-    """Turn positions of ``monotonically_increasing_id`` into dense, rising ``id``s.
+def number_rows(staged: DataFrame, first: int, position: str = "_at") -> DataFrame:
+    """Turn positions of ``monotonically_increasing_id`` into dense, rising ``id``s from ``first``.
 
     The offsets are one row per writing task, so their window and broadcast are small.
     """
@@ -71,13 +71,9 @@ def number_rows(staged: DataFrame, batch_id: int, position: str = "_at") -> Data
         "_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
     in_task = F.col(position).bitwiseAND(F.lit((1 << 33) - 1))
-    place = F.col("_offset") + in_task
-    checked = F.when(place < (1 << POSITION_BITS), place).otherwise(
-        F.raise_error(F.lit("too many rows in one batch")).cast("bigint")
-    )
     return (
         staged.withColumn("_task", task).join(F.broadcast(offsets), "_task")
-        .withColumn("id", F.lit(batch_id << POSITION_BITS).cast("bigint") + checked)
+        .withColumn("id", F.lit(first).cast("bigint") + F.col("_offset") + in_task)
         .drop("_task", "_offset", position)
     )
 
@@ -86,7 +82,6 @@ def publish_batch(
     readings: DataFrame,
     queue_path: str,
     batch: str,
-    batch_id: int = 0,
     keys: list[str] | None = None,
     staging: str | None = None,
     topic: str = TOPIC,
@@ -96,8 +91,10 @@ def publish_batch(
     """Put a batch of readings on the queue; repeating the same batch changes nothing.
 
     With ``keys`` message ids follow from the source and are inserted if absent. Without,
-    every reading is a new message, and a repeated batch replaces its own folder. Readings
-    without an ``id`` get one; they are staged first so that ids do not change.
+    every reading is a new message with a random message id. Batches are staged first, so that
+    neither ids nor message ids change when a batch is repeated, and staging is removed once
+    the batch is in the queue. Readings without an ``id`` get the next ones of the queue: one
+    publisher at a time, as for inserts.
     """
     spark = readings.sparkSession
     rows = to_payload(stamp_processed_at(readings, at)).withColumns({
@@ -105,22 +102,23 @@ def publish_batch(
         "partition_key": fnv1a_partition(F.col("gpu_id"), partitions),
     })
     rows = assign_msg_uuid(rows, keys)
-    if "id" not in readings.columns:
-        if staging is None:
-            raise ValueError("readings without an id need a staging folder")
-        placed = rows.select("topic", "msg_uuid", "payload", "partition_key").withColumn(
-            "_at", F.monotonically_increasing_id()
-        )
-        rows = number_rows(_read_staged(placed, f"{staging.rstrip('/')}/{batch}"), batch_id)
-    messages = queue_rows(rows, at)
-    if keys is None:
-        append_queue(messages, queue_path, batch, replace=True)
+    staging = staging or f"{queue_path.rstrip('/')}-staged"
+    if batch_complete(spark, queue_path, batch):
         return
-    held = scan_queue(spark, queue_path) if table_exists(spark, queue_path) else None
-    new = insert_if_absent(
-        held, messages, ["topic", "msg_uuid"], ["id"], MAX_BROADCAST_KEYS
+    given = ["id"] if "id" in readings.columns else []
+    placed = rows.select(*given, "topic", "msg_uuid", "payload", "partition_key").withColumn(
+        "_at", F.monotonically_increasing_id()
     )
-    append_queue(new, queue_path, batch)
+    folder = f"{staging.rstrip('/')}/{batch}"
+    staged, first = _read_staged(placed, folder, queue_path)
+    messages = queue_rows(staged.drop("_at") if given else number_rows(staged, first), at)
+    if keys is not None:
+        held = None
+        if table_exists(spark, queue_path):
+            held = matching_keys(scan_queue(spark, queue_path), staged, ["topic", "msg_uuid"])
+        messages = insert_if_absent(held, messages, ["topic", "msg_uuid"], ["id"])
+    append_queue(messages, queue_path, batch, replace=True)
+    remove(spark, folder)
 
 
 def publish_stream(
@@ -138,7 +136,7 @@ def publish_stream(
 
     def flush(batch: DataFrame, batch_id: int) -> None:
         publish_batch(
-            batch, queue_path, _batch_name(batch, batch_id), batch_id, keys,
+            batch, queue_path, _batch_name(batch, batch_id), keys,
             f"{checkpoint.rstrip('/')}-staged", topic, partitions, at,
         )
 
@@ -155,8 +153,8 @@ def collect_batch(
 ) -> None:
     """Store a batch of messages; repeating it, or a part of it, adds nothing.
 
-    A message's time never changes, so copies of it fall on the same day, and only the days
-    of the batch are searched for its message ids.
+    A message id is stored once, whatever time it comes with: the ids of the whole table are
+    searched, of which only the ones in the batch leave the scan.
     """
     spark = messages.sparkSession
     # Read four times below: the payloads should be parsed once.
@@ -164,15 +162,11 @@ def collect_batch(
     try:
         now = at if at is not None else F.current_timestamp()
         good = storable(rows).withColumn("ingested_at", now).select(*TELEMETRY_COLUMNS)
-        day = F.to_date("timestamp").alias("d")
-        found = good.select(day).distinct().limit(MAX_BATCH_DAYS + 1).collect()
-        days = [r.d for r in found] if len(found) <= MAX_BATCH_DAYS else None
-        if found:
+        if rows.count():  # fills the cache, so that Spark knows the size of the batch
             held = None
             if table_exists(spark, telemetry_path):
-                held = scan_telemetry(spark, telemetry_path, days)
-            new = insert_if_absent(held, good, ["msg_uuid"], ["id"], MAX_BROADCAST_KEYS)
-            append_telemetry(new, telemetry_path)
+                held = matching_keys(scan_telemetry(spark, telemetry_path), good, ["msg_uuid"])
+            append_telemetry(insert_if_absent(held, good, ["msg_uuid"], ["id"]), telemetry_path)
         bad = quarantined(rows)
         if mode == "quarantine" and not bad.isEmpty():
             bad.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/batch={batch}")

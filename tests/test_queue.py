@@ -26,7 +26,7 @@ def test_partition_ranges(spark):
 @given(n=st.integers(1, 40), total=st.integers(1, 64))
 def test_ranges_cover_every_key_once(spark, n, total):
     keys = spark.range(total).select(F.col("id").cast("int").alias("partition_key"))
-    joined = queue.assign_owner(keys, queue.partition_ranges(spark, n, total), total)
+    joined = queue.assign_owner(keys, queue.partition_ranges(spark, n, total))
     computed = joined.withColumn("o", queue.owner_of(F.col("partition_key"), n, total)).collect()
     assert sorted(r.partition_key for r in computed) == list(range(total))
     assert all(r.owner == r.o for r in computed)
@@ -168,3 +168,14 @@ def test_compact_queue(spark, tmp_path):
     done = spark.createDataFrame([(0,)], "id long")
     queue.compact_queue(messages(spark, 8), done, str(tmp_path / "q"))
     assert spark.read.parquet(str(tmp_path / "q")).count() == 7
+
+
+@pytest.mark.parametrize("total", [100, 512])
+def test_any_number_of_partitions_is_fetched_in_full(spark, total):
+    rows = spark.range(total).select(
+        F.col("id"), F.lit("t").alias("topic"), F.lit("m").alias("msg_uuid"), F.lit("{}").alias("payload"),
+        F.lit(None).cast("timestamp").alias("created_at"), F.col("id").cast("int").alias("partition_key"))
+    ranges = queue.partition_ranges(spark, 4, total)
+    assert queue.fetch_batch_per_owner(rows, ranges).select("id").distinct().count() == total
+    used = queue.backlog_utilization(rows, ranges, total).collect()
+    assert sum(r.backlog for r in used) == total and all(r.backlog == total // 4 for r in used)
