@@ -177,7 +177,8 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP, key: str = "doc_id
     df = numbers.mapInArrow(frequencies, "term long, df long").join(wanted, "term", "left_semi").groupBy("term").agg(F.sum("df").alias("df"))
     # A query's number within its block, by key.
     blocks = max(1, -(-asked.select("q").distinct().count() // QUERIES))
-    weighed = asked.join(df, "term").withColumn("block", F.pmod(F.xxhash64("q"), F.lit(blocks)).cast("int"))
+    # Spark cannot know how many rows the files give, and would broadcast them.
+    weighed = asked.join(df.hint("merge"), "term").withColumn("block", F.pmod(F.xxhash64("q"), F.lit(blocks)).cast("int"))
 
     def store(keys: tuple, group: pa.Table) -> pa.Table:
         group = group.sort_by([("q", "ascending"), ("term", "ascending")])
