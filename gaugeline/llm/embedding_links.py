@@ -26,19 +26,24 @@ from gaugeline.llm.components import connected_components, part_pairs
 
 COSINE = 0.95
 BLOCKS = 8
-LEAF = 4_096  # vectors a leaf should have
+LEAF = 16_384  # vectors a leaf should have: smaller ones save comparisons, but each level sends a third of the vectors twice
 SAMPLE = 20_000  # vectors from which cuts are taken; any cuts give the same result
 LEAST_SAMPLE = 32  # a leaf of so few sampled vectors is not cut further
-MOST = 16_384  # larger leaves are cut into pairs of parts of this size
+MOST = 32_768  # larger leaves are cut into pairs of parts of this size
 TILE = 1_024
 
 
 def unit_vectors(values: list[bytes], dims: int) -> np.ndarray:
     """Vectors of 32-bit floats, as bytes, as unit vectors in double precision, zeros added up to ``dims``."""
     out = np.zeros((len(values), dims))
-    for i, v in enumerate(values):
-        x = np.frombuffer(v, "<f4")
-        out[i, : len(x)] = x
+    sizes = set(map(len, values))
+    if len(sizes) == 1:
+        n = sizes.pop() // 4
+        out[:, :n] = np.frombuffer(b"".join(values), "<f4").reshape(-1, n)
+    else:
+        for i, v in enumerate(values):
+            x = np.frombuffer(v, "<f4")
+            out[i, : len(x)] = x
     return out / np.sqrt((out * out).sum(axis=1))[:, None]
 
 
