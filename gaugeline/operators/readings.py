@@ -116,8 +116,8 @@ def telemetry_response(
     )
     cut = pages(keyed, ["_gpu"], ["timestamp", "id"], F.col("_entry"), page_size, "entries")
     kind = cut.schema["entries"].dataType
-    seen = rows.select(F.col("uuid").alias("gpu_id")).distinct()
-    none = asked.join(seen, "gpu_id", "left_anti").select(
+    seen = rows.select(F.col("uuid").alias("gpu_id")).distinct().withColumn("_seen", F.lit(True))
+    none = asked.join(seen, "gpu_id", "left").filter("_seen IS NULL").select(
         "gpu_id", F.lit(0).cast("bigint").alias("page"), F.array().cast(kind).alias("entries")
     )
     # No join of pages: those of one GPU stay spread over the tasks that cut them.
