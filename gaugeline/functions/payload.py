@@ -104,10 +104,6 @@ def _problem(text: str) -> str:
              ELSE {_let('e', _members(known, ['gpu_id']), body)} END"""
 
 
-def message_problem(text: str = "payload") -> Column:
-    return F.expr(_problem(text))
-
-
 def _checked_fields(text: str) -> str:
     """Any JSON object as ``struct(ok, fields)``, every member's type checked."""
     text_keys = ", ".join(f"'{c}'" for c in (*TEXT_COLUMNS, "timestamp"))

@@ -90,13 +90,19 @@ def lease_outcome(parsed: DataFrame) -> DataFrame:
     """Whether each lease is persisted and acknowledged, and how many rows it loses.
 
     A lease of nothing but unreadable messages is not acknowledged; one with a readable
-    message is, as a whole.
+    message is, as a whole. With ``problem``, as :func:`telemetry_rows` gives it, a lease with a
+    row that the table refuses fails as one insert: it stores nothing and stays unacknowledged.
     """
+    if "problem" in parsed.columns:
+        parsed = parsed.withColumn("_refused", F.col("parse_ok") & F.col("problem").isNotNull())
+    else:
+        parsed = parsed.withColumn("_refused", F.lit(False))
+    fails = F.bool_or("_refused")
     good = F.count_if("parse_ok")
     total = F.count(F.lit(1))
     return parsed.groupBy("lease_id").agg(
-        F.when(F.bool_or("parse_ok"), "persist").otherwise("skip").alias("outcome"),
-        F.bool_or("parse_ok").alias("acked"),
-        good.alias("persistable"),
+        F.when(fails, "fail").when(F.bool_or("parse_ok"), "persist").otherwise("skip").alias("outcome"),
+        (F.bool_or("parse_ok") & ~fails).alias("acked"),
+        F.when(fails, F.lit(0).cast("bigint")).otherwise(good).alias("persistable"),
         (total - good).alias("quarantined"),
     )

@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from gaugeline.schemas import MESSAGE_STATES
 
-QUEUE_RULES = {
-    "not_null": ["id", "topic", "msg_uuid", "payload", "created_at", "partition_key"],
-    "unique": [["id"], ["topic", "msg_uuid"]],
-}
 TELEMETRY_RULES = {
     "not_null": ["id", "uuid", "msg_uuid", "gpu_id", "metric_name", "timestamp", "ingested_at"],
     "unique": [["id"], ["msg_uuid"]],

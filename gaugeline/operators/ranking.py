@@ -97,7 +97,8 @@ def first_per_group(df: DataFrame, groups: list[str], order: str, limit: int) ->
     Each input split first keeps its own candidates and a bounded number of merge groups keeps
     theirs, so that the last step sees at most 64 × ``limit`` rows per group. Spark keeps
     candidates before a shuffle up to a threshold; for larger limits only the blocks that
-    can hold the first rows are kept, as their starts tell, and numbered.
+    can hold the first rows are kept, as their starts tell, and numbered. Both ways give the same rows;
+    those without a group are left out.
     """
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     if limit > threshold:
@@ -108,7 +109,8 @@ def first_per_group(df: DataFrame, groups: list[str], order: str, limit: int) ->
         near = blocked.join(starts, keys).withColumn("_nth", nth)
         return near.filter(F.col("_start") + F.col("_nth") <= limit).select(*df.columns)
 
-    salted = df.withColumn("_merge", F.pmod(F.spark_partition_id(), F.lit(64)))
+    known = df.filter(" AND ".join(f"{g} IS NOT NULL" for g in groups))
+    salted = known.withColumn("_merge", F.pmod(F.spark_partition_id(), F.lit(64)))
 
     def keep(rows: DataFrame, keys: list[str]) -> DataFrame:
         nth = F.row_number().over(Window.partitionBy(*keys).orderBy(order))

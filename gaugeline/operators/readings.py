@@ -18,7 +18,7 @@ PAGE_SIZE = 10_000
 _MICROSECOND = dt.timedelta(microseconds=1)
 
 
-def _parse_instant(text: str, name: str) -> dt.datetime:
+def _parse_instant(text: str, name: str, up: bool = False) -> dt.datetime:
     if not re.match(RFC3339_LOOSE.replace(r"\z", r"\Z"), text, re.ASCII):
         raise ValueError(f"invalid {name}: {text!r}")
     clock = re.sub(r"T(\d):", r"T0\1:", text.replace(",", "."))
@@ -30,7 +30,10 @@ def _parse_instant(text: str, name: str) -> dt.datetime:
     if not text.endswith("Z"):
         offset = dt.timedelta(hours=int(text[-5:-3]), minutes=int(text[-2:]))
         offset = -offset if text[-6] == "-" else offset
-    return (local - offset).replace(tzinfo=dt.timezone.utc)
+    instant = (local - offset).replace(tzinfo=dt.timezone.utc)
+    # Stored times are whole microseconds: the first that is not before a finer start is the next.
+    cut = re.search(r"\.\d{6}(\d*)", clock)
+    return instant + _MICROSECOND if up and cut and cut[1].strip("0") else instant
 
 
 def _is_date(clock: str) -> bool:
@@ -45,7 +48,7 @@ def resolve_window(
     start_time: str | None = None, end_time: str | None = None
 ) -> tuple[dt.datetime, dt.datetime]:
     """Both ends of a window from optional RFC 3339 texts; empty texts count as absent."""
-    start = _parse_instant(start_time or WINDOW_START, "start_time")
+    start = _parse_instant(start_time or WINDOW_START, "start_time", up=True)
     end = _parse_instant(end_time or WINDOW_END, "end_time")
     if start > end:
         raise ValueError("start_time must be before or equal to end_time")

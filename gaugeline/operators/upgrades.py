@@ -15,9 +15,10 @@ LATEST = 7
 LEASE_STATE_COLUMNS = ["state", "leased_by", "lease_id", "lease_until", "attempts", "updated_at"]
 
 
-def _must(value: Column, ok: Column, message: str) -> Column:
-    """``value``, or a failed job where ``ok`` does not hold."""
-    return F.when(ok, value).otherwise(F.raise_error(F.lit(message)).cast("string"))
+def _must(df: DataFrame, ok: Column, message: str) -> DataFrame:
+    """The rows, or a failed job where ``ok`` does not hold for one, whatever columns are read."""
+    failure = F.raise_error(F.lit(message)).cast("string")
+    return df.filter(F.when(~F.coalesce(ok, F.lit(False)), failure).isNull())
 
 
 def upgrade_telemetry(df: DataFrame, from_version: int, to_version: int = LATEST) -> DataFrame:
@@ -28,7 +29,7 @@ def upgrade_telemetry(df: DataFrame, from_version: int, to_version: int = LATEST
     if from_version < 5 <= to_version:
         old = F.col("msg_uuid") if "msg_uuid" in df.columns else nothing
         filled = F.coalesce(old, F.col("uuid").cast("string"))
-        df = df.withColumn("msg_uuid", _must(filled, filled.isNotNull(), "msg_uuid is missing"))
+        df = _must(df, filled.isNotNull(), "msg_uuid is missing").withColumn("msg_uuid", filled)
     if from_version < 6 <= to_version:
         df = df.withColumn("uuid", F.col("uuid").cast("string"))
     return df
@@ -39,7 +40,7 @@ def downgrade_telemetry(df: DataFrame, from_version: int, to_version: int) -> Da
     if from_version >= 6 > to_version:
         uuid = canonical_uuid(F.col("uuid"))
         ok = F.col("uuid").isNull() | uuid.isNotNull()
-        df = df.withColumn("uuid", _must(uuid, ok, "uuid is not a UUID"))
+        df = _must(df, ok, "uuid is not a UUID").withColumn("uuid", uuid)
     if from_version >= 5 > to_version:
         df = df.drop("msg_uuid")
     if from_version >= 3 > to_version:

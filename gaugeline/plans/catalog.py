@@ -464,6 +464,25 @@ def _(spark, sf_dir):
     return collect.lease_outcome(payload.parse_payload(messages))
 
 
+@query("lease_outcome_refused", S.with_(S.READINGS, """
+    SELECT hostname AS lease_id,
+           CASE WHEN bool_or(refused) THEN 'fail' WHEN bool_or(ok) THEN 'persist' ELSE 'skip' END AS outcome,
+           bool_or(ok) AND NOT bool_or(refused) AS acked,
+           CASE WHEN bool_or(refused) THEN 0 ELSE count(*) FILTER (WHERE ok) END AS persistable,
+           count(*) FILTER (WHERE NOT ok) AS quarantined
+    FROM (SELECT hostname, ok, ok AND metric_name = 'view' AND uuid > 'GPU-000700' AS refused
+          FROM (SELECT *, NOT (metric_name = 'error' OR uuid < 'GPU-000010') AS ok FROM readings))
+    GROUP BY hostname"""))
+def _(spark, sf_dir):
+    """The same leases; some readable messages have ids that the table refuses."""
+    sent = identity.assign_msg_uuid(payload.to_payload(A.readings(A.load(spark, sf_dir))), ["id"])
+    bad_id = F.when(F.expr("metric_name = 'view' AND uuid > 'GPU-000700'"), "u1").otherwise(F.col("msg_uuid"))
+    messages = sent.select(
+        "id", F.col("hostname").alias("lease_id"), bad_id.alias("msg_uuid"), F.expr(BROKEN).alias("payload")
+    )
+    return collect.lease_outcome(collect.telemetry_rows(messages))
+
+
 @query("quarantine", S.with_(S.READINGS, f"""
     SELECT id, CASE WHEN metric_name = 'error' OR uuid < 'GPU-000010' THEN 'payload cannot be read'
                     ELSE 'msg_uuid is not a UUID' END AS problem

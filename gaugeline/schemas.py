@@ -6,7 +6,6 @@ from pyspark.sql import types as T
 
 # Operating points of the telemetry pipeline.
 VIRTUAL_PARTITIONS = 256
-FLUSH_MESSAGES = 500
 FLUSH_INTERVAL = "500 milliseconds"
 FETCH_LIMIT = 1000
 LEASE_MAX = 100
@@ -56,19 +55,3 @@ def _schema(columns: list[str]) -> T.StructType:
 READING_SCHEMA = _schema(READING_COLUMNS)
 TELEMETRY_SCHEMA = _schema(TELEMETRY_COLUMNS)
 QUEUE_SCHEMA = _schema(QUEUE_COLUMNS)
-LEASE_SCHEMA = T.StructType([
-    T.StructField("lease_id", T.StringType()),
-    T.StructField("consumer_id", T.StringType()),
-    T.StructField("ids", T.ArrayType(T.LongType())),
-    T.StructField("served_at", T.TimestampType()),
-    T.StructField("lease_seconds", T.IntegerType()),
-])
-ACK_SCHEMA = T.StructType([
-    T.StructField("lease_id", T.StringType()),
-    T.StructField("acked_at", T.TimestampType()),
-])
-PUBLISH_SCHEMA = T.StructType([
-    T.StructField("request_id", T.LongType()),
-    T.StructField("topic", T.StringType()),
-    T.StructField("messages", T.ArrayType(T.StringType())),
-])

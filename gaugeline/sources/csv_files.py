@@ -13,7 +13,7 @@ from gaugeline.functions.scalars import (
     parse_value,
     trim_text,
 )
-from gaugeline.schemas import READING_COLUMNS
+from gaugeline.schemas import READING_COLUMNS, ZERO_TIME
 
 _RECORD = "_corrupt_record"
 _RAW_SCHEMA = T.StructType(
@@ -156,7 +156,8 @@ def csv_texts(df: DataFrame) -> DataFrame:
     columns = []
     for c in READING_COLUMNS:
         if c == "timestamp":
-            text = format_rfc3339nano(F.col(c))
+            zero = F.lit(ZERO_TIME).cast("timestamp")  # what telemetry holds for no time
+            text = format_rfc3339nano(F.nullif(F.col(c), zero))
         elif c == "value":
             text = format_float(F.coalesce(F.col(c), F.lit(0.0)))
         else:
