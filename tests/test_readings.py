@@ -89,3 +89,9 @@ def test_response_of_a_hot_gpu_in_pages(spark):
     times = [e.timestamp for r in got for e in r.entries]
     assert len(times) == 5000 and times == sorted(times)
     assert max(len(r.entries) for r in got) == 64
+
+
+def test_window_ends_finer_than_a_microsecond():
+    start, end = readings.resolve_window("2026-01-01T00:00:00.000000001Z", "2026-01-01T00:00:00.000001999Z")
+    assert (start.microsecond, end.microsecond) == (1, 1)
+    assert readings.resolve_window("2026-01-01T00:00:00.000000000Z")[0].microsecond == 0
