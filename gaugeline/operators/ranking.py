@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gaugeline.session import work_folder
+
 BLOCK_BITS = 20
 
 
@@ -63,28 +65,35 @@ def fifo_rank(df: DataFrame, groups: list[str], order: str = "id", rank: str = "
 def pages(
     df: DataFrame, groups: list[str], order: list[str], item: Column, size: int, name: str
 ) -> DataFrame:
-    """Each group's items in order, as arrays of at most ``size``.
+    """Each group's items in order, as arrays: ``page`` k holds the items k x ``size`` and following.
 
     Rows are range-partitioned and sorted by (group, order), so a very large group spreads
-    over several tasks, and each task's rows are cut into pages. ``page`` rises with the order;
-    the arrays of a group, read by rising ``page``, are its whole ordered list. A small
-    result is a single page. ``order`` has to be unique within a group.
+    over several tasks. They are written once, because running the same again could cut the ranges
+    elsewhere. Each task's rows of a group are numbered, and the number of those in the tasks
+    before is added. All pages but a group's last are full, however many tasks there are. ``order`` has to
+    be unique within a group; rows without a group are left out.
     """
-    position = F.monotonically_increasing_id()
+    spark = df.sparkSession
+    known = df.filter(" AND ".join(f"{g} IS NOT NULL" for g in groups)) if groups else df
     placed = (
-        df.repartitionByRange(*groups, *order).sortWithinPartitions(*groups, *order)
-        if groups or order
-        else df
+        known.select(*groups, *order, item.alias("_item"))
+        .repartitionByRange(*groups, *order).sortWithinPartitions(*groups, *order)
+        .select(*groups, "_item", F.monotonically_increasing_id().alias("_at"))
+    )
+    folder = work_folder(spark, "pages")
+    placed.write.parquet(folder)
+    stored = spark.read.schema(placed.schema).parquet(folder)
+    stored = stored.withColumn("_task", F.shiftright("_at", 33))
+    keys = [*groups, "_task"]
+    counts = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    tasks = Window.partitionBy(*groups).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*keys, F.coalesce(F.sum("_n").over(tasks), F.lit(0)).alias("_start"))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("_at"))
+    numbered = stored.withColumn("_nth", nth).join(starts, keys).withColumn(
+        "_at", F.col("_start") + F.col("_nth") - 1
     )
-    cut = placed.select(
-        *groups, item.alias("_item"), position.alias("_at")
-    ).withColumns({
-        "_task": F.shiftright("_at", 33),
-        "_page": F.expr(f"(_at & {(1 << 33) - 1}) div {int(size)}"),
-    })
-    collected = cut.groupBy(*groups, "_task", "_page").agg(
-        F.min("_at").alias("page"),
-        F.sort_array(F.collect_list(F.struct("_at", "_item"))).alias("_items"),
+    collected = numbered.groupBy(*groups, F.expr(f"_at div {int(size)}").alias("page")).agg(
+        F.sort_array(F.collect_list(F.struct("_at", "_item"))).alias("_items")
     )
     return collected.select(
         *groups, "page", F.transform("_items", lambda x: x["_item"]).alias(name)
@@ -94,26 +103,12 @@ def pages(
 def first_per_group(df: DataFrame, groups: list[str], order: str, limit: int) -> DataFrame:
     """The ``limit`` first rows of each group, in the order of a unique LONG column.
 
-    Each input split first keeps its own candidates and a bounded number of merge groups keeps
-    theirs, so that the last step sees at most 64 × ``limit`` rows per group. Spark keeps
-    candidates before a shuffle up to a threshold; for larger limits only the blocks that
-    can hold the first rows are kept, as their starts tell, and numbered. Both ways give the same rows;
-    those without a group are left out.
+    Only the blocks that can hold the first rows are kept, as their starts tell, and numbered
+    each on its own; those without a group are left out.
     """
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if limit > threshold:
-        blocked = _blocked(df, groups, order)
-        keys = [*groups, "_block"]
-        starts = _block_starts(blocked, groups).filter(F.col("_start") < limit)
-        nth = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-        near = blocked.join(starts, keys).withColumn("_nth", nth)
-        return near.filter(F.col("_start") + F.col("_nth") <= limit).select(*df.columns)
-
-    known = df.filter(" AND ".join(f"{g} IS NOT NULL" for g in groups))
-    salted = known.withColumn("_merge", F.pmod(F.spark_partition_id(), F.lit(64)))
-
-    def keep(rows: DataFrame, keys: list[str]) -> DataFrame:
-        nth = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
-        return rows.withColumn("_nth", nth).filter(F.col("_nth") <= limit).drop("_nth")
-
-    return keep(keep(salted, [*groups, "_merge"]), groups).drop("_merge")
+    blocked = _blocked(df, groups, order)
+    keys = [*groups, "_block"]
+    starts = _block_starts(blocked, groups).filter(F.col("_start") < limit)
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
+    near = blocked.join(starts, keys).withColumn("_nth", nth).filter(F.col("_nth") <= limit)
+    return near.filter(F.col("_start") + F.col("_nth") <= limit).select(*df.columns)

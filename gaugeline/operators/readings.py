@@ -124,4 +124,4 @@ def telemetry_response(
         "gpu_id", F.lit(0).cast("bigint").alias("page"), F.array().cast(kind).alias("entries")
     )
     # No join of pages: those of one GPU stay spread over the tasks that cut them.
-    return cut.filter("_gpu IS NOT NULL").withColumnRenamed("_gpu", "gpu_id").unionByName(none)
+    return cut.withColumnRenamed("_gpu", "gpu_id").unionByName(none)

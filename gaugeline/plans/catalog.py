@@ -57,9 +57,14 @@ def _(spark, sf_dir):
     return readings.list_gpus(A.telemetry(A.load(spark, sf_dir)))
 
 
-@query("gpus_response", S.with_(S.TELEMETRY, "SELECT DISTINCT uuid AS id FROM telemetry WHERE uuid IS NOT NULL"))
+@query("gpus_response", S.with_(S.TELEMETRY, """
+    SELECT CAST(n // 7 AS BIGINT) AS page, CAST(n % 7 AS INTEGER) AS position, id FROM (
+      SELECT uuid AS id, row_number() OVER (ORDER BY uuid) - 1 AS n
+      FROM (SELECT DISTINCT uuid FROM telemetry WHERE uuid IS NOT NULL))"""))
 def _(spark, sf_dir):
-    return readings.gpus_response(A.telemetry(A.load(spark, sf_dir))).select(F.inline("gpus"))
+    """The GPU list in pages of seven, with the place of each GPU."""
+    response = readings.gpus_response(A.telemetry(A.load(spark, sf_dir)), page_size=7)
+    return response.select("page", F.posexplode("gpus").alias("position", "gpu")).select("page", "position", "gpu.id")
 
 
 BUSIEST = "(SELECT uuid FROM telemetry GROUP BY uuid ORDER BY count(*) DESC, uuid LIMIT 1)"
@@ -89,19 +94,22 @@ def _(spark, sf_dir):
 @query(
     "telemetry_response",
     S.with_(S.TELEMETRY, f"""
-    SELECT uuid AS requested, {ENTRY_SQL} FROM telemetry WHERE {IN_WINDOW}
+    SELECT uuid AS requested, CAST(n // 20 AS BIGINT) AS page, CAST(n % 20 AS INTEGER) AS position, {ENTRY_SQL}
+    FROM (SELECT *, row_number() OVER (PARTITION BY uuid ORDER BY "timestamp", id) - 1 AS n
+          FROM telemetry WHERE {IN_WINDOW} AND uuid IS NOT NULL)
     UNION ALL
-    SELECT g.uuid, {", ".join("NULL" for _ in ENTRY_COLUMNS)}
+    SELECT g.uuid, 0, NULL, {", ".join("NULL" for _ in ENTRY_COLUMNS)}
     FROM (SELECT DISTINCT uuid FROM telemetry UNION SELECT 'GPU-none') g
     WHERE NOT EXISTS (SELECT 1 FROM telemetry t WHERE t.uuid = g.uuid AND {IN_WINDOW})"""),
 )
 def _(spark, sf_dir):
-    """The whole response for every GPU and an unknown one, one row per entry."""
+    """The whole response for every GPU and an unknown one, in pages of 20, with the place of each entry."""
     rows = A.telemetry(A.load(spark, sf_dir))
     unknown = spark.range(1).select(F.lit("GPU-none").alias("gpu_id"))
     asked = rows.select(F.col("uuid").alias("gpu_id")).distinct().unionByName(unknown)
-    response = readings.telemetry_response(rows, asked, *WINDOW).withColumnRenamed("gpu_id", "requested")
-    return response.select("requested", F.inline_outer("entries"))
+    response = readings.telemetry_response(rows, asked, *WINDOW, page_size=20).withColumnRenamed("gpu_id", "requested")
+    placed = response.select("requested", "page", F.posexplode_outer("entries").alias("position", "entry"))
+    return placed.select("requested", "page", "position", "entry.*")
 
 
 # --- Scalar functions --------------------------------------------------------------------
@@ -564,12 +572,11 @@ def _(spark, sf_dir):
 
 
 @query("lease_table", S.with_(S.LEASES, """
-    SELECT lease_id, len(ids) AS n, list_min(ids) AS first_id, list_max(ids) AS last_id, served_at,
-           lease_seconds FROM leases"""))
+    SELECT lease_id, len(ids) AS n, array_to_string(ids, ',') AS ids, served_at, lease_seconds FROM leases"""))
 def _(spark, sf_dir):
     return A.leases(A.load(spark, sf_dir)).select(
-        "lease_id", F.size("ids").cast("bigint").alias("n"), F.array_min("ids").alias("first_id"),
-        F.array_max("ids").alias("last_id"), "served_at", "lease_seconds",
+        "lease_id", F.size("ids").cast("bigint").alias("n"),
+        F.concat_ws(",", F.col("ids").cast("array<string>")).alias("ids"), "served_at", "lease_seconds",
     )
 
 
@@ -609,6 +616,19 @@ def _(spark, sf_dir):
     return kept.select("id", "topic", "msg_uuid", "partition_key")
 
 
+@query("queue_after_delete", S.with_(S.LEASES + DONE, "SELECT id, topic, msg_uuid, partition_key FROM queue WHERE id NOT IN (SELECT id FROM done)"))
+def _(spark, sf_dir):
+    """Acknowledged messages deleted from a stored queue; a flush that is sent again afterwards adds nothing."""
+    events = A.load(spark, sf_dir)
+    rows, granted = A.readings(events), A.leases(events)
+    folder = work_folder(spark, "queue")
+    for half in (0, 1):
+        pipeline.publish_batch(rows.filter(F.col("id") % 2 == half), folder, f"flush-{half}", keys=["id"])
+    tables.delete_from_queue(spark, folder, acked_ids(granted, A.acks(granted)))
+    pipeline.publish_batch(rows.filter("id % 2 = 0"), folder, "flush-0", keys=["id"])
+    return tables.scan_queue(spark, folder).select("id", "topic", "msg_uuid", "partition_key")
+
+
 @query("deleted_count", S.with_(S.LEASES + DONE, "SELECT count(*) AS deleted_count FROM done"))
 def _(spark, sf_dir):
     events = A.load(spark, sf_dir)
@@ -787,6 +807,13 @@ def _(spark, sf_dir):
     return csv_files.read_telemetry_csv(spark, folder, by_header=True)
 
 
+@query("csv_stream", S.with_(S.READINGS, f"SELECT {READING_SQL} FROM readings"))
+def _(spark, sf_dir):
+    folder = work_folder(spark, "csv")
+    csv_files.write_telemetry_csv(A.readings(A.load(spark, sf_dir)), folder)
+    return _drain(csv_files.stream_telemetry_csv(spark, folder), "csv-stream")
+
+
 @query("table_roundtrip", S.with_(S.TELEMETRY, f"SELECT {TELEMETRY_SQL} FROM telemetry WHERE {IN_WINDOW}"))
 def _(spark, sf_dir):
     """Telemetry appended to its table and read back for a window, whose days are pruned."""
@@ -816,14 +843,14 @@ def _published(spark: SparkSession, sf_dir: str) -> str:
 
 
 @query("stream_publish", S.with_(S.QUEUE, """
-    SELECT id, topic, msg_uuid, partition_key, uuid, value FROM queue"""))
+    SELECT id, topic, msg_uuid, partition_key, TIMESTAMP '2024-02-01 00:00:00' AS created_at, uuid, value FROM queue"""))
 def _(spark, sf_dir):
-    stored = tables.scan_queue(spark, _published(spark, sf_dir))
-    return parsed_message(stored.drop("created_at"))
+    return parsed_message(tables.scan_queue(spark, _published(spark, sf_dir)))
 
 
 @query("stream_collect", S.with_(S.TELEMETRY, f"""
-    SELECT {", ".join(f'"{c}"' for c in TELEMETRY_COLUMNS if c not in ("timestamp", "ingested_at"))}
+    SELECT {", ".join(f'"{c}"' for c in TELEMETRY_COLUMNS if c not in ("timestamp", "ingested_at"))},
+           TIMESTAMP '2024-02-01 00:00:00' AS "timestamp", TIMESTAMP '2024-02-02 00:00:00' AS ingested_at
     FROM telemetry"""))
 def _(spark, sf_dir):
     """From readings through the queue into telemetry, both as streams."""
@@ -833,10 +860,9 @@ def _(spark, sf_dir):
         pipeline.collect_stream(
             tables.stream_queue(spark, queued), folder, work_folder(spark, "quarantine"),
             work_folder(spark, f"checkpoint-{attempt}"), available_now=True,
+            at=F.lit("2024-02-02 00:00:00").cast("timestamp"),
         ).awaitTermination()
-    return tables.scan_telemetry(spark, folder).select(
-        *[c for c in TELEMETRY_COLUMNS if c not in ("timestamp", "ingested_at")]
-    )
+    return tables.scan_telemetry(spark, folder).select(*TELEMETRY_COLUMNS)
 
 
 def _drain(stream: DataFrame, name: str) -> DataFrame:

@@ -12,6 +12,7 @@ from gaugeline.schemas import QUEUE_COLUMNS, QUEUE_SCHEMA, TELEMETRY_COLUMNS, TE
 
 EVENT_DATE = "event_date"
 INGEST_BATCH = "ingest_batch"
+REWRITE, NEXT_ID = "_rewrite", "_next_id"  # below a queue, where scans do not look
 
 
 def _with_field(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
@@ -30,13 +31,33 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def batch_complete(spark: SparkSession, path: str, batch: str) -> bool:
     """Whether an ingest batch was written to its end."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{INGEST_BATCH}={batch}/_SUCCESS")
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    return _exists(spark, f"{path.rstrip('/')}/{INGEST_BATCH}={batch}/_SUCCESS")
 
 
-def remove(spark: SparkSession, path: str) -> None:
+def _located(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _located(spark, path)
+    return fs.exists(where)
+
+
+def _touch(spark: SparkSession, path: str) -> None:
+    fs, where = _located(spark, path)
+    fs.create(where, True).close()
+
+
+def _move(spark: SparkSession, path: str, to: str) -> None:
+    fs, where = _located(spark, path)
+    if not fs.rename(where, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"cannot move {path} to {to}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, where = _located(spark, path)
+    fs.delete(where, True)
 
 
 def scan_queue(spark: SparkSession, path: str) -> DataFrame:
@@ -47,11 +68,72 @@ def scan_queue(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path).select(*QUEUE_COLUMNS)
 
 
+def next_id(spark: SparkSession, path: str) -> int:
+    """One more than the greatest message id that the queue has or ever had."""
+    known = [scan_queue(spark, path)]
+    if table_exists(spark, f"{path.rstrip('/')}/{NEXT_ID}"):
+        known.append(spark.read.schema("id bigint").parquet(f"{path.rstrip('/')}/{NEXT_ID}"))
+    greatest = [k.agg(F.max("id")).head()[0] for k in known]  # from the file footers
+    return max((g + 1 for g in greatest if g is not None), default=0)
+
+
+def delete_from_queue(spark: SparkSession, path: str, done: DataFrame) -> None:
+    """Delete the messages whose ``id`` is in ``done`` from the stored queue; other ids do not matter.
+
+    Only the ingest batches that hold such messages are rewritten, all in one job; of the others no more than
+    the ids are read. A batch that is rewritten stays known as published. A delete that was broken off has done
+    nothing, or is finished by the next delete or publish. Streams of the queue get the messages that
+    stay in rewritten batches once more. Like publishing, a job for one writer at a time.
+    """
+    finish_delete(spark, path)
+    if not table_exists(spark, path):
+        return
+    path = path.rstrip("/")
+    stored = spark.read.schema(_with_field(QUEUE_SCHEMA, INGEST_BATCH, T.StringType())).parquet(path)
+    gone = done.select("id")
+    hit = stored.select("id", INGEST_BATCH).join(gone, "id", "left_semi").select(INGEST_BATCH).distinct()
+    names = [r[0] for r in hit.collect()]  # of folders, which the driver lists at any scan
+    if not names:
+        return
+    # Ids of deleted messages are not given again.
+    last = next_id(spark, path) - 1
+    spark.range(last, last + 1).write.mode("append").parquet(f"{path}/{NEXT_ID}")
+    (
+        stored.filter(F.col(INGEST_BATCH).isin(names)).join(gone, "id", "left_anti")
+        .select(*QUEUE_COLUMNS, INGEST_BATCH)
+        .repartitionByRange(INGEST_BATCH, "partition_key", "id")
+        .sortWithinPartitions(INGEST_BATCH, "partition_key", "id")
+        .write.mode("overwrite").partitionBy(INGEST_BATCH).parquet(f"{path}/{REWRITE}/rows")
+    )
+    for name in names:
+        _touch(spark, f"{path}/{REWRITE}/rows/{INGEST_BATCH}={name}/_SUCCESS")
+    spark.createDataFrame([(n,) for n in names], "name string").write.mode("overwrite").parquet(
+        f"{path}/{REWRITE}/names")
+    finish_delete(spark, path)
+
+
+def finish_delete(spark: SparkSession, path: str) -> None:
+    """Put the rewritten batches of a complete delete into their places; nothing if there is none."""
+    top = f"{path.rstrip('/')}/{REWRITE}"
+    if not _exists(spark, f"{top}/names/_SUCCESS"):
+        return
+    for row in spark.read.parquet(f"{top}/names").collect():
+        folder = f"{INGEST_BATCH}={row.name}"
+        if _exists(spark, f"{top}/rows/{folder}"):
+            remove(spark, f"{path.rstrip('/')}/{folder}")
+            _move(spark, f"{top}/rows/{folder}", f"{path.rstrip('/')}/{folder}")
+    remove(spark, top)
+
+
 def stream_queue(
     spark: SparkSession, path: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """The queue table as a stream of the messages appended to it."""
+    """The queue table as a stream of the messages appended to it.
+
+    Files that a delete replaces before they are read are passed over: what stays of them comes in new files.
+    """
     reader = spark.readStream.schema(_with_field(QUEUE_SCHEMA, INGEST_BATCH, T.StringType()))
+    reader = reader.option("ignoreMissingFiles", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(path).select(*QUEUE_COLUMNS)

@@ -20,6 +20,8 @@ from gaugeline.sources.tables import (
     append_queue,
     append_telemetry,
     batch_complete,
+    finish_delete,
+    next_id,
     remove,
     scan_queue,
     scan_telemetry,
@@ -48,13 +50,12 @@ def _batch_name(batch: DataFrame, batch_id: int) -> str:
 def _read_staged(rows: DataFrame, folder: str, queue_path: str) -> tuple[DataFrame, int]:
     """``rows`` written once, and the first id for them: a replay reads what the first complete attempt wrote.
 
-    Ids go on from the greatest one stored, which Spark finds in the file footers.
+    Ids go on from the greatest one that was ever stored.
     """
     spark = rows.sparkSession
     if not table_exists(spark, folder) or not table_exists(spark, f"{folder}/_done"):
         rows.write.mode("overwrite").parquet(f"{folder}/rows")
-        greatest = scan_queue(spark, queue_path).agg(F.max("id")).head()[0]
-        first = 0 if greatest is None else greatest + 1
+        first = next_id(spark, queue_path)
         spark.range(first, first + 1).write.mode("overwrite").parquet(f"{folder}/_done")
     return spark.read.parquet(f"{folder}/rows"), spark.read.parquet(f"{folder}/_done").head()[0]
 
@@ -103,6 +104,7 @@ def publish_batch(
     })
     rows = assign_msg_uuid(rows, keys)
     staging = staging or f"{queue_path.rstrip('/')}-staged"
+    finish_delete(spark, queue_path)
     if batch_complete(spark, queue_path, batch):
         return
     given = ["id"] if "id" in readings.columns else []

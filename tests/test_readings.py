@@ -85,10 +85,12 @@ def test_response_of_a_hot_gpu_in_pages(spark):
         *[F.lit(None).cast(TELEMETRY_SCHEMA[c].dataType).alias(c) for c in TELEMETRY_SCHEMA.names[6:]],
     )
     asked = spark.createDataFrame([("HOT",)], "gpu_id string")
-    got = readings.telemetry_response(rows, asked, page_size=64).orderBy("page").collect()
-    times = [e.timestamp for r in got for e in r.entries]
-    assert len(times) == 5000 and times == sorted(times)
-    assert max(len(r.entries) for r in got) == 64
+    for tasks in (1, 7):
+        got = readings.telemetry_response(rows.repartition(tasks), asked, page_size=64).orderBy("page").collect()
+        times = [e.timestamp for r in got for e in r.entries]
+        assert len(times) == 5000 and times == sorted(times)
+        assert [r.page for r in got] == list(range(79))
+        assert {len(r.entries) for r in got[:-1]} == {64} and len(got[-1].entries) == 8
 
 
 def test_window_ends_finer_than_a_microsecond():

@@ -87,6 +87,44 @@ def test_failed_store_is_delivered_again(spark, events, tmp_path, monkeypatch):
     assert tables.scan_telemetry(spark, telemetry).count() == events.count()
 
 
+def test_delete_from_a_live_queue(spark, events, tmp_path, monkeypatch):
+    queue, telemetry = str(tmp_path / "queue"), str(tmp_path / "telemetry")
+    rows = adapters.readings(events).drop("id")
+    n = rows.count()
+    for name in ("q-0", "q-1"):
+        pipeline.publish_batch(rows, queue, name)
+
+    def collect():
+        pipeline.collect_stream(tables.stream_queue(spark, queue), telemetry, str(tmp_path / "bad"),
+                                str(tmp_path / "c"), available_now=True).awaitTermination()
+
+    def ids():
+        return sorted(r.id for r in tables.scan_queue(spark, queue).select("id").collect())
+
+    collect()
+    tables.delete_from_queue(spark, queue, spark.range(10 * n, 10 * n + 5))
+    assert ids() == list(range(2 * n))
+    # All of the second flush; the first one's files stay as they are.
+    before = sorted(p.name for p in (tmp_path / "queue" / "ingest_batch=q-0").iterdir())
+    tables.delete_from_queue(spark, queue, spark.range(n, 2 * n))
+    assert ids() == list(range(n))
+    assert before == sorted(p.name for p in (tmp_path / "queue" / "ingest_batch=q-0").iterdir())
+    pipeline.publish_batch(rows, queue, "q-1")  # a late repetition of what is deleted
+    assert ids() == list(range(n))
+    pipeline.publish_batch(rows.limit(3), queue, "q-2")  # does not use deleted ids again
+    assert ids() == [*range(n), 2 * n, 2 * n + 1, 2 * n + 2]
+
+    # A delete that is broken off between its files: the next writer ends it.
+    monkeypatch.setattr(tables, "_move", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError, match="gone"):
+        tables.delete_from_queue(spark, queue, spark.range(0, 10))
+    monkeypatch.undo()
+    pipeline.publish_batch(rows, queue, "q-0")
+    assert ids() == [*range(10, n), 2 * n, 2 * n + 1, 2 * n + 2]
+    collect()
+    assert tables.scan_telemetry(spark, telemetry).count() == 2 * n + 3
+
+
 def test_bad_messages_are_set_aside_once(spark, events, tmp_path):
     messages = adapters.queue(events).withColumn(
         "payload", F.when(F.col("id") < 5, "nope").otherwise(F.col("payload")))
