@@ -770,6 +770,25 @@ def _(spark, sf_dir):
     )
 
 
+@query("constraint_report_queue", """
+    WITH q AS (SELECT event_id AS id, CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 5 = 0 THEN 'lost'
+                                           ELSE 'ready' END AS state FROM events),
+    twice AS (SELECT * FROM q UNION ALL SELECT * FROM q WHERE id % 11 = 0)
+    SELECT "constraint", violations FROM (
+      SELECT unnest(['not_null(id)', 'not_null(topic)', 'not_null(msg_uuid)', 'not_null(payload)', 'not_null(state)',
+                     'not_null(attempts)', 'not_null(created_at)', 'not_null(updated_at)', 'check(state)',
+                     'unique(id)', 'unique(topic, msg_uuid)']) AS "constraint",
+             unnest([0, 0, 0, 0, n_null, 0, 0, 0, n_lost, n_copy, n_copy]) AS violations
+      FROM (SELECT count(*) FILTER (WHERE state IS NULL) AS n_null, count(*) FILTER (WHERE state = 'lost') AS n_lost,
+                   count(*) FILTER (WHERE id % 11 = 0) // 2 AS n_copy FROM twice))""")
+def _(spark, sf_dir):
+    """A version 1 queue with unknown and missing states, and some rows twice."""
+    state = F.when(F.col("id") % 7 == 0, None).when(F.col("id") % 5 == 0, "lost").otherwise("ready")
+    rows = queue_v1(A.load(spark, sf_dir)).withColumn("state", state)
+    twice = rows.unionByName(rows.filter("id % 11 = 0"))
+    return constraints.constraint_report(twice, **constraints.QUEUE_V1_RULES)
+
+
 @query("telemetry_pipeline", S.with_(S.TELEMETRY, f"""
     SELECT {TELEMETRY_SQL} FROM telemetry""".replace(
         '"ingested_at"', "TIMESTAMP '2024-02-01 00:00:00' AS ingested_at")))
