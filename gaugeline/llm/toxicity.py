@@ -8,14 +8,15 @@ under a letter trigram model, which is counted over all documents. All other wor
 
 Score. A noisy-or over the entries of a lexicon, looked up among the text's own and restored words: each entry that is there makes
 the text toxic with the share of toxic documents among those that have it. The lexicon comes from a bounded sample of labelled
-documents, in which copies of a document count once: whole words that are surely in toxic documents mostly, then, greedily,
-beginnings of words for toxic documents that have no such word.
+documents, from which copies are removed before anything is counted: all whole words that are surely in toxic documents mostly,
+then, greedily, beginnings of words for toxic documents that have no such word.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,10 +32,10 @@ from gaugeline.llm.common import saved, slices
 from gaugeline.llm.labelled import id_remainder, training_rows
 
 TRAIN_ROWS = 8_000
-CANDIDATES = 2_000  # words with the strongest tie to the label that the lexicon is chosen from
 LEAST_DOCS = 5  # toxic documents that a lexicon entry must be in, copies counted once
 SURE = 0.7  # least lower bound (95 %) of the share of toxic documents among those with an entry
-COPY_MARKS = 4  # least hashes of three-word runs; documents that share one count as copies
+SHINGLE, SIMILAR = 5, 0.8  # documents that share so much of their runs of so many words count as copies
+SKETCH = 128  # least hashes of a document's runs that are compared
 BEGINNINGS = range(5, 9)  # letters of word beginnings that a lexicon may have
 LONGEST = 48  # characters of a span that is read as a lattice
 
@@ -195,81 +196,95 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_R
         for batch in slices(batches, 64):
             texts = batch.column(1).to_pylist()
             words = [sorted(features(t, shared.value)) for t in texts]
-            marks = [copy_marks(t) for t in texts]
+            hashes = [xxhash.xxh64_intdigest(t.encode()) for t in texts]
+            sketches = [sketch(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(words, pa.list_(pa.string())), pa.array(marks, pa.list_(pa.int64()))],
-                names=["y", "words", "marks"])
+                [batch.column(0), pa.array(hashes, pa.uint64()).view(pa.int64()), pa.array(words, pa.list_(pa.string())),
+                 pa.array(sketches, pa.list_(pa.int64()))],
+                names=["y", "h", "words", "sketch"])
 
-    sample = saved(
+    # Copies go before anything is counted: equal texts first, then those that are similar to one that stays.
+    distinct = saved(
         training_rows(docs, labels, label, learn, rows, key, text)
-        .mapInArrow(read, "y int, words array<string>, marks array<long>"), "toxic-sample")
-    toxic, clean = (sample.where(f"y = {y}").count() for y in (1, 0))
-    if not toxic or not clean:
-        return Model(letters, {}, 0.0 if not toxic else 1.0)
-    rate = F.col("toxic") / toxic - F.col("clean") / clean
-    strength = F.abs(rate) / F.sqrt((F.col("toxic") + F.col("clean") + 1.0) / (toxic + clean)) * F.sqrt(F.col("toxic") + F.col("clean"))
-    candidates = (
+        .mapInArrow(read, "y int, h long, words array<string>, sketch array<long>").dropDuplicates(["y", "h"]), "toxic-sample")
+    kept = one_of_copies([(r.y, r.h, r.sketch) for r in distinct.select("y", "h", "sketch").orderBy("y", "h").collect()])
+    if {y for y, _ in kept} != {0, 1}:
+        return Model(letters, {}, 0.0 if not any(y for y, _ in kept) else 1.0)
+    firsts = docs.sparkSession.createDataFrame(kept, "y int, h long")
+    sample = distinct.join(F.broadcast(firsts), ["y", "h"], "left_semi").select("y", "h", "words")
+    counts = (
         sample.select("y", F.explode("words").alias("w")).groupBy("w")
-        .agg(F.sum("y").cast("long").alias("toxic"), F.sum(1 - F.col("y")).cast("long").alias("clean"))
-        .where((F.col("toxic") >= LEAST_DOCS) & (rate > 0)).orderBy(strength.desc(), "w").limit(CANDIDATES)
-    )
-    names = sorted(r.w for r in candidates.select("w").collect())
-    place = {w: i for i, w in enumerate(names)}
-    held = F.array_intersect("words", F.array(*map(F.lit, names))) if names else F.array().cast("array<string>")
-    found = sample.select("y", held.alias("words"), "marks").collect()
-    found.sort(key=lambda r: (r.y, r.words, r.marks))
-    found = one_of_copies(found)
-    x = np.zeros((len(found), len(names)), bool)
-    for i, r in enumerate(found):
-        x[i, [place[w] for w in r.words]] = True
-    y = np.array([r.y for r in found])
-    share, chosen = choose(x, y, np.array([n[-1] == "$" for n in names], bool))
-    rest = y[~x[:, chosen].any(axis=1)]
-    return Model(letters, {names[j]: float(share[j]) for j in chosen}, float((rest.sum() + 0.1) / (len(rest) + 1)) if len(rest) else 0.1)
-
-
-def copy_marks(text: str) -> list[int]:
-    """The least hashes of the text's three-word runs under some multipliers."""
-    words = text.encode().lower().split()
-    runs = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
-    h = np.fromiter(map(xxhash.xxh64_intdigest, runs), "u8", len(runs))
-    return [int((h * np.uint64(2 * i + 0x9E3779B97F4A7C15)).min().view("i8")) for i in range(COPY_MARKS)]
+        .agg(F.sum("y").cast("long").alias("toxic"), F.count("*").alias("n")).where(F.col("toxic") >= LEAST_DOCS))
+    share = {r.w: (r.toxic, r.n) for r in counts.collect() if lower_bound(r.toxic, r.n) >= SURE}
+    sure = docs.sparkSession.sparkContext.broadcast(set(share))
+
+    def hold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [[w for w in words if w in sure.value] for words in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.list_(pa.string()))], names=["y", "held"])
 
+    found = [(r.y, r.held) for r in sample.select("y", "words").mapInArrow(hold, "y int, held array<string>").collect()]
+    chosen = choose(found, set(share))
+    rest = [y for y, held in found if chosen.isdisjoint(held)]
+    return Model(letters, {w: (share[w][0] + 0.1) / (share[w][1] + 1) for w in sorted(chosen)},
+                 (sum(rest) + 0.1) / (len(rest) + 1) if rest else 0.1)
 
-def one_of_copies(found: list) -> list:
-    """The first row of each group that shared marks connect, labels apart."""
-    owner: dict[tuple[int, int], int] = {}
-    up = list(range(len(found)))
 
-    def top(i: int) -> int:
-        while up[i] != i:
-            up[i] = up[up[i]]
-            i = up[i]
-        return i
+def sketch(text: str) -> list[int]:
+    """The least hashes of the text's runs of words (all words if there are fewer), ascending, without repeats."""
+    words = text.encode().lower().split()
+    runs = {b" ".join(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))}
+    h = np.sort(np.fromiter(map(xxhash.xxh64_intdigest, runs), "u8", len(runs)).view("i8"))
+    return np.unique(h)[:SKETCH].tolist()
 
-    for i, r in enumerate(found):
-        for m in r.marks:
-            j = top(owner.setdefault((r.y, m), i))
-            up[max(j, top(i))] = min(j, top(i))
-    return [r for i, r in enumerate(found) if top(i) == i]
 
+def one_of_copies(found: list[tuple[int, int, list[int]]]) -> list[tuple[int, int]]:
+    """(label, text hash) of the rows (label, text hash, sketch) that are similar to no earlier one that stays, labels apart.
 
-def choose(x: np.ndarray, y: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, list[int]]:
-    """Share of toxic documents by entry, and the entries chosen: all sure whole words, then sure beginnings one by one."""
-    toxic, all_ = x[y == 1].sum(axis=0), x.sum(axis=0)
-    n = np.maximum(all_, 1)
+    Similarity is that of the runs of words: exact for texts of up to SKETCH runs, else estimated from the least hashes
+    of both texts together.
+    """
+    kept: list[tuple[int, int]] = []
+    sketches: list[np.ndarray] = []
+    index: dict[tuple[int, int], list[int]] = {}
+    for y, h, least in found:
+        own = np.array(least, "i8")
+        # Of a similar text, this share of the least hashes is among its own; only such texts are compared.
+        shared = Counter(i for v in least for i in index.get((y, v), ()))
+        if any(n + 1e-9 >= SIMILAR * len(least) and similarity(own, sketches[i]) >= SIMILAR for i, n in shared.items()):
+            continue
+        for v in least:
+            index.setdefault((y, v), []).append(len(sketches))
+        sketches.append(own)
+        kept.append((y, h))
+    return kept
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Shared part of two texts' runs of words, by their sketches."""
+    both = np.union1d(a, b)
+    if max(len(a), len(b)) == SKETCH:
+        both = both[:SKETCH]
+    return len(np.intersect1d(np.intersect1d(a, b, assume_unique=True), both, assume_unique=True)) / len(both)
+
+
+def lower_bound(toxic: int, n: int) -> float:
+    """Least share of toxic documents that is likely (95 %) with ``toxic`` of ``n``."""
     rate, z = toxic / n, 1.96
-    bound = (rate + z * z / (2 * n) - z * np.sqrt(rate * (1 - rate) / n + z * z / (4 * n * n))) / (1 + z * z / n)
-    sure = (bound >= SURE) & (toxic >= LEAST_DOCS)
-    chosen = np.flatnonzero(sure & whole).tolist()
-    left = ~x[:, chosen].any(axis=1) & (y == 1)
-    while sure.any():
-        gain = x[left].sum(axis=0) * sure
-        if gain.max() < LEAST_DOCS:
-            break
-        chosen.append(int(gain.argmax()))
-        left &= ~x[:, chosen[-1]]
-    return (toxic + 0.1) / (all_ + 1), chosen
+    return (rate + z * z / (2 * n) - z * math.sqrt(rate * (1 - rate) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+def choose(found: list[tuple[int, list[str]]], sure: set[str]) -> set[str]:
+    """The entries chosen among sure ones, by the documents (label, sure entries): all whole words, then beginnings one by one."""
+    chosen = {w for w in sure if w[-1] == "$"}
+    left = [held for y, held in found if y == 1 and chosen.isdisjoint(held)]
+    while True:
+        gain = Counter(w for held in left for w in held)
+        best = min(gain, key=lambda w: (-gain[w], w), default=None)
+        if best is None or gain[best] < LEAST_DOCS:
+            return chosen
+        chosen.add(best)
+        left = [held for held in left if best not in held]
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> Column:

@@ -93,6 +93,28 @@ def test_hidden_toxic_words_are_scored(tables):
         assert model.score(clean) < 0.5
 
 
+def test_copies_do_not_crowd_words_out(spark):
+    rng = np.random.default_rng(1)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), 8)) for _ in range(2_600)]
+    toxic = [" ".join(words[:2_400]) + f" {words[2_400 + i]}" for i in range(40)] + [
+        " ".join(rng.choice(words[2_450:], 12)) + " grobian" for _ in range(30)]
+    clean = [" ".join(rng.choice(words, 40)) for _ in range(60)]
+    rows = [(i, t, int(i < len(toxic))) for i, t in enumerate(toxic + clean)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.train(docs, docs, F.lit(True))
+    assert "grobian$" in model.weights and model.score("one two grobian three") >= 0.5
+    assert words[0] + "$" not in model.weights
+
+
+def test_only_similar_texts_are_copies():
+    long = [f"w{i}" for i in range(400)]
+    near, passage = long[:200] + ["x"] + long[201:], long[:100] + [f"v{i}" for i in range(300)]
+    texts = [long, near, passage, long[:20], long[:20] + ["y"], long[:10] + ["z"]]
+    found = [(1, i, toxicity.sketch(" ".join(t))) for i, t in enumerate(texts)]
+    assert toxicity.one_of_copies(found) == [(1, 0), (1, 2), (1, 3), (1, 5)]
+    assert toxicity.one_of_copies([(0, 9, found[0][2]), *found])[:2] == [(0, 9), (1, 0)]
+
+
 def test_letter_counts_are_whole():
     text = "aab é a"
     s = [0, 0, 1, 1, 2, 0, 27, 27, 0, 1, 0, 0]
