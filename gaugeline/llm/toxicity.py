@@ -3,8 +3,8 @@
 Channel. A writer who hides a word swaps letters for look-alikes, puts marks or spaces between them, or repeats them. Spans
 that look like that (letters mixed with digits or signs, four or more single letters in a row, a letter three times
 running) become lattices: each sign may stand for any of its letters, for nothing, or, where a letter repeats, for more of
-the same; each choice has a cost. Viterbi search over the last two letters finds the reading that is likeliest
-under a letter trigram model, which is counted over all documents. All other words stand as they are.
+the same, and spaces and separators also for the end of a word; each choice has a cost. Viterbi search over the last two letters finds the reading that is likeliest
+under a letter trigram model, which is counted over all documents, and all ways to break it into words that are nearly as likely count. All other words stand as they are.
 
 Score. A noisy-or over the entries of a lexicon, looked up among the text's own and restored words: each entry that is there makes
 the text toxic with the share of toxic documents among those that have it. The lexicon comes from a bounded sample of labelled
@@ -19,6 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -46,7 +47,9 @@ LOOK_ALIKE = {
 }
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 BETWEEN = " .-_*#~,'/\\"
-SWAP, DROP, JOIN, MASK, REPEAT, DOUBLE = 1.0, 9.0, 0.3, 3.0, 0.3, 1.5  # costs
+SWAP, DROP, JOIN, MASK, REPEAT, DOUBLE, BREAK = 1.0, 9.0, 0.3, 3.0, 0.3, 1.5, 1.0  # costs
+MARGIN = 6.0  # how much more than the least a way to break a span into words may cost
+JOINED = "\x1f"  # stands in a reading for a separator that does not end a word
 
 EDGE = 0  # symbols of the letter model: 0 the word's edge, 1-26 letters, 27 any other letter
 SYMBOLS = 28
@@ -54,6 +57,7 @@ _SYMBOL = np.zeros(256, "u1")
 _SYMBOL[ord("a") : ord("z") + 1] = np.arange(1, 27)
 _SYMBOL[ord("A") : ord("Z") + 1] = np.arange(1, 27)
 _SYMBOL[128:] = 27
+_OF_LETTER = {x: (i + 1,) for i, x in enumerate(LETTERS)}
 
 _SIGNS = re.escape("".join(LOOK_ALIKE))
 _MIXED = re.compile(rf"(?<![a-z])[{_SIGNS}]{{0,2}}[a-z]+(?:[{_SIGNS}*#._~'\-]{{1,3}}[a-z]+)+[{_SIGNS}]{{0,2}}(?![a-z])|(?<!\S)[{_SIGNS}]{{1,2}}[a-z]{{2,}}|(?<![a-z])[a-z]{{1,8}}[0-9@$|+!][0-9@$|+!a-z]*[a-z0-9]")
@@ -80,48 +84,98 @@ class LetterModel:
         self.cost = (-np.log((c + 20 * two[None]) / (c.sum(axis=2, keepdims=True) + 20))).tolist()
         self.cache: dict[str, str] = {}
 
-    def restore(self, span: str) -> str:
-        """The likeliest word behind a span."""
+    def restore(self, span: str) -> tuple[str, ...]:
+        """The words behind a span that the likeliest reading has, or readings that are nearly as likely."""
         if span not in self.cache:
             if len(self.cache) > 100_000:
                 self.cache.clear()
-            self.cache[span] = self._viterbi(span)
+            self.cache[span] = tuple(sorted(self._words(self._viterbi(span))))
         return self.cache[span]
 
+    def _add(self, p: int, q: int, x: str) -> tuple[float, int, int]:
+        """Cost of a letter after the symbols p and q, and the last two symbols then."""
+        cost = 0.0
+        for n in symbols(x):
+            cost, p, q = cost + self.cost[p][q][n], q, n
+        return cost, p, q
+
     def _viterbi(self, span: str) -> str:
-        best: dict[tuple[int, int], tuple[float, str]] = {(EDGE, EDGE): (0.0, "")}
-        for at, sign in enumerate(span):
-            options = [("", 0.0)] if not sign.strip() else []
-            if sign in LETTERS:
+        """The likeliest reading: its letters, with a space or JOINED where the span has a space or separator."""
+        # A reading is a chain of (what came before, letter).
+        best: dict[tuple[int, int], tuple[float, tuple | None]] = {(EDGE, EDGE): (0.0, None)}
+        signs = [(sign, at, n) for sign, run in groupby(span) for n in [len(list(run))] for at in range(n)]
+        for sign, at, run in signs:
+            between = sign in BETWEEN or sign.isspace()
+            options = []
+            if sign.isalpha():
                 options.append((sign, 0.0))
             elif sign in LOOK_ALIKE:
                 options += [(x, SWAP) for x in LOOK_ALIKE[sign]]
                 options.append(("", DROP))
-            elif sign in BETWEEN:
-                options.append(("", JOIN))
+            elif between:
+                options.append(("", JOIN if sign in BETWEEN and sign != " " else 0.0))
                 if sign in "*#":
                     options += [(x, MASK) for x in LETTERS]
             else:
                 options.append(("", DROP))
-            # Only three in a row or more count as repetition.
-            run = len(re.match(rf"{re.escape(sign)}*", span[at:])[0]) + len(re.search(rf"{re.escape(sign)}*$", span[:at])[0])
-            again = run > 2 and at > 0 and span[at - 1] == sign and sign not in BETWEEN
-            step: dict[tuple[int, int], tuple[float, str]] = {}
-            for (p, q), (cost, word) in best.items():
+            again = run > 2 and at > 0 and not between  # only three in a row or more count as repetition
+            step: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+
+            def offer(key: tuple[int, int], cost: float, chain: tuple | None) -> None:
+                if key not in step or cost < step[key][0]:
+                    step[key] = (cost, chain)
+
+            for (p, q), (cost, chain) in best.items():
                 for x, price in options:
                     if x:
-                        n = ord(x) - 96
-                        key, new = (q, n), (cost + price + self.cost[p][q][n] + (DOUBLE if again else 0), word + x)
-                        if again and q == n:  # more of the same letter
-                            stay = (cost + REPEAT, word)
-                            if (p, q) not in step or stay < step[p, q]:
-                                step[p, q] = stay
+                        more, *key = self._add(p, q, x)
+                        if again and chain and chain[1] == x:  # more of the same letter
+                            offer((p, q), cost + REPEAT, chain)
+                        offer(tuple(key), cost + price + more + (DOUBLE if again else 0), (chain, x))
                     else:
-                        key, new = (p, q), (cost + price, word)
-                    if key not in step or new < step[key]:
-                        step[key] = new
+                        offer((p, q), cost + price, (chain, JOINED) if between else chain)
+                        if between and q != EDGE:  # or a word ends here
+                            offer((q, EDGE), cost + BREAK + self.cost[p][q][EDGE], (chain, " "))
             best = step
-        return min((cost + self.cost[p][q][EDGE], word) for (p, q), (cost, word) in best.items())[1] if best else ""
+        chain = min(((cost + self.cost[p][q][EDGE], i, chain) for i, ((p, q), (cost, chain)) in enumerate(best.items())))[2]
+        letters = []
+        while chain:
+            chain, x = chain
+            letters.append(x)
+        return "".join(reversed(letters))
+
+    def _words(self, reading: str) -> set[str]:
+        """Words of all ways to break a reading at spaces or separators whose cost is within MARGIN of the least."""
+        parts = [x for x in re.split(f"[ {JOINED}]", reading) if x]
+        ends = [(0.0, EDGE)]  # least cost up to each place between parts, and the symbol before it
+        begun: list[tuple[int, float, int, int]] = []  # first part, cost, last two symbols of words that go on
+        edges: list[list[tuple[int, float]]] = []  # for each part, words that may end with it: first part, cost of the word
+        for part in parts:
+            begun.append((len(edges), ends[-1][0], ends[-1][1], EDGE))
+            on, least = [], {}
+            for first, cost, p, q in begun:
+                for x in part:
+                    more, p, q = self._add(p, q, x)
+                    cost += more
+                on.append((first, cost, p, q))
+                least[p, q] = min(cost, least.get((p, q), math.inf))
+            # From equal symbols words go on alike, so what is too costly here stays so.
+            begun = [w for w in on if w[1] <= least[w[2:]] + MARGIN]
+            edges.append([(first, cost + self.cost[p][q][EDGE] + BREAK - ends[first][0]) for first, cost, p, q in begun])
+            ends.append((min(ends[first][0] + cost for first, cost in edges[-1]), symbols(part[-1])[-1]))
+        rest = [math.inf] * len(parts) + [0.0]
+        words = set()
+        for last in range(len(parts) - 1, -1, -1):
+            for first, cost in edges[last]:
+                rest[first] = min(rest[first], cost + rest[last + 1])
+                if ends[first][0] + cost + rest[last + 1] <= ends[-1][0] + MARGIN:
+                    words.add("".join(parts[first : last + 1]))
+        return words
+
+
+def symbols(letter: str) -> tuple[int, ...]:
+    """The letter's symbols in the letter model: one for each of its bytes."""
+    return tuple(map(int, _SYMBOL[np.frombuffer(letter.encode(), "u1")])) if letter not in _OF_LETTER else _OF_LETTER[letter]
 
 
 def spans(low: str) -> Iterator[str]:
@@ -135,7 +189,7 @@ def spans(low: str) -> Iterator[str]:
 
 def restored_words(low: str, model: LetterModel) -> set[str]:
     """Words restored from the spans of a lower-case text that hide one."""
-    return {model.restore(h) for h in {s.strip() for s in spans(low)} if len(h) <= LONGEST}
+    return {w for h in {s.strip() for s in spans(low)} if len(h) <= LONGEST for w in model.restore(h)}
 
 
 def features(text: str | None, model: LetterModel) -> set[str]:

@@ -84,6 +84,21 @@ def test_hidden_words_are_restored(tables):
     assert toxicity.restored_words("the of and in a to it is by", model) == set()
 
 
+PHRASES = {
+    "such a s t u p i d": "a stupid", "y o u i d i o t": "you idiot", "you.idi0t": "you idiot", "y.o.u a.r.e s.t.u.p.i.d": "are stupid",
+    "such a m-o-r-o-n": "a moron", "i a m n o t s t u p i d": "not stupid", "t h e i d i o t": "the idiot", "a l o s e r": "a loser",
+    "such.a.m0r0n": "such moron", "idi0t-m0r0n": "idiot moron"}
+
+
+def test_hidden_words_are_parted(tables):
+    model = toxicity.train(*tables, F.lit(True))
+    for hidden, words in PHRASES.items():
+        assert set(words.split()) <= toxicity.restored_words(hidden, model.letters), hidden
+    for hidden in ("such a s t u p i d", "y o u i d i o t", "you.idi0t"):
+        assert model.score(hidden) >= 0.5, hidden
+    assert toxicity.restored_words("x" * 3 + " well-known", model.letters) >= {"well", "known"}
+
+
 def test_hidden_toxic_words_are_scored(tables):
     docs, labels = tables
     model = toxicity.train(docs, labels, F.lit(True))
