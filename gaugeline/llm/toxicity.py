@@ -19,7 +19,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import groupby
+from itertools import accumulate, groupby
 
 import numpy as np
 import pandas as pd
@@ -38,7 +38,8 @@ SURE = 0.7  # least lower bound (95 %) of the share of toxic documents among tho
 SHINGLE, SIMILAR = 5, 0.8  # documents that share so much of their runs of so many words count as copies
 SKETCH = 128  # least hashes of a document's runs that are compared
 BEGINNINGS = range(5, 9)  # letters of word beginnings that a lexicon may have
-LONGEST = 48  # characters of a span that is read as a lattice
+MARKS = " !¡(|+@$€£"  # at a span's ends they may be letters or marks: it is read with and without them
+CACHED = 64  # characters of a span whose words are remembered
 
 # Letters that each sign may stand for.
 LOOK_ALIKE = {
@@ -49,6 +50,7 @@ LETTERS = "abcdefghijklmnopqrstuvwxyz"
 BETWEEN = " .-_*#~,'/\\"
 SWAP, DROP, JOIN, MASK, REPEAT, DOUBLE, BREAK = 1.0, 9.0, 0.3, 3.0, 0.3, 1.5, 1.0  # costs
 MARGIN = 6.0  # how much more than the least a way to break a span into words may cost
+WINDOW = 48  # letters of a word that is in a less likely reading only
 JOINED = "\x1f"  # stands in a reading for a separator that does not end a word
 
 EDGE = 0  # symbols of the letter model: 0 the word's edge, 1-26 letters, 27 any other letter
@@ -60,11 +62,17 @@ _SYMBOL[128:] = 27
 _OF_LETTER = {x: (i + 1,) for i, x in enumerate(LETTERS)}
 
 _SIGNS = re.escape("".join(LOOK_ALIKE))
-_MIXED = re.compile(rf"(?<![a-z])[{_SIGNS}]{{0,2}}[a-z]+(?:[{_SIGNS}*#._~'\-]{{1,3}}[a-z]+)+[{_SIGNS}]{{0,2}}(?![a-z])|(?<!\S)[{_SIGNS}]{{1,2}}[a-z]{{2,}}|(?<![a-z])[a-z]{{1,8}}[0-9@$|+!][0-9@$|+!a-z]*[a-z0-9]")
-_SIGN = re.compile(rf"[0-9@$|+!(€£¡*#_~\-.'](?=[a-z0-9@$])|[a-z][0-9@$|+]")
-_SPACED = re.compile(rf"(?<![a-z0-9])(?:[a-z{_SIGNS}][ .\-_*~/]{{1,2}}){{3,}}[a-z{_SIGNS}](?![a-z0-9])")
+_L = r"[^\W\d_]"  # a letter of any language
+# Runs are possessive and begin where nothing of theirs is before them, so that time is linear in the text.
+_MIXED = re.compile(
+    rf"(?<!{_L})(?<![{_SIGNS}])[{_SIGNS}]*+{_L}++(?:[{_SIGNS}*#._~'\-]++{_L}++)++[{_SIGNS}]*+"
+    rf"|(?<!\S)[{_SIGNS}]++{_L}{{2,}}+"
+    rf"|(?<!{_L}){_L}++[0-9@$|+!]*[0-9@$|+]")
+_SIGN = re.compile(rf"[0-9@$|+!(€£¡*#_~\-.'](?=[^\W_]|[@$])|{_L}[0-9@$|+]")
+_SPACED = re.compile(rf"(?<![^\W_])(?:(?:{_L}|[{_SIGNS}])[ .\-_*~/]{{1,2}}){{3,}}(?:{_L}|[{_SIGNS}])(?![^\W_])")
 _TRIPLES = [c * 3 for c in LETTERS]
-_TRIPLED = re.compile(r"[a-z]*([a-z])\1\1[a-z]*")
+_TRIPLE = re.compile(rf"({_L})\1\1")
+_TRIPLED = re.compile(rf"(?<!{_L}){_L}*?({_L})\1\1{_L}*+")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -81,16 +89,20 @@ class LetterModel:
         c = counts.reshape(SYMBOLS, SYMBOLS, SYMBOLS).astype("f8")
         two = c.sum(axis=0)
         two = (two + 0.5) / (two + 0.5).sum(axis=1, keepdims=True)
-        self.cost = (-np.log((c + 20 * two[None]) / (c.sum(axis=2, keepdims=True) + 20))).tolist()
+        self.costs = -np.log((c + 20 * two[None]) / (c.sum(axis=2, keepdims=True) + 20))
+        self.cost = self.costs.tolist()
         self.cache: dict[str, str] = {}
 
     def restore(self, span: str) -> tuple[str, ...]:
         """The words behind a span that the likeliest reading has, or readings that are nearly as likely."""
-        if span not in self.cache:
-            if len(self.cache) > 100_000:
-                self.cache.clear()
-            self.cache[span] = tuple(sorted(self._words(self._viterbi(span))))
-        return self.cache[span]
+        words = self.cache.get(span)
+        if words is None:
+            words = tuple(sorted(self._words(self._viterbi(span))))
+            if len(span) <= CACHED:
+                if len(self.cache) > 100_000:
+                    self.cache.clear()
+                self.cache[span] = words
+        return words
 
     def _add(self, p: int, q: int, x: str) -> tuple[float, int, int]:
         """Cost of a letter after the symbols p and q, and the last two symbols then."""
@@ -125,6 +137,15 @@ class LetterModel:
                 if key not in step or cost < step[key][0]:
                     step[key] = (cost, chain)
 
+            if sign in "*#" and len(best) > 30:  # any letter after many pairs of letters: all at once
+                before = np.full((SYMBOLS, SYMBOLS), np.inf)
+                for (p, q), (cost, _) in best.items():
+                    before[p, q] = cost
+                after = before[:, :, None] + self.costs[:, :, 1:27]
+                least, came = after.min(axis=0) + MASK, after.argmin(axis=0)
+                for q, n in zip(*map(np.ndarray.tolist, np.nonzero(np.isfinite(least))), strict=True):
+                    offer((q, n + 1), float(least[q, n]), (best[int(came[q, n]), q][1], LETTERS[n]))
+                options = [("", JOIN)]
             for (p, q), (cost, chain) in best.items():
                 for x, price in options:
                     if x:
@@ -145,22 +166,27 @@ class LetterModel:
         return "".join(reversed(letters))
 
     def _words(self, reading: str) -> set[str]:
-        """Words of all ways to break a reading at spaces or separators whose cost is within MARGIN of the least."""
+        """Words of the likeliest way to break a reading at spaces or separators, and of ways that cost up to MARGIN more.
+
+        Of the latter only words of up to WINDOW letters, so that time and memory are linear in the reading.
+        """
         parts = [x for x in re.split(f"[ {JOINED}]", reading) if x]
+        at = [0, *accumulate(map(len, parts))]
         ends = [(0.0, EDGE)]  # least cost up to each place between parts, and the symbol before it
         begun: list[tuple[int, float, int, int]] = []  # first part, cost, last two symbols of words that go on
         edges: list[list[tuple[int, float]]] = []  # for each part, words that may end with it: first part, cost of the word
-        for part in parts:
-            begun.append((len(edges), ends[-1][0], ends[-1][1], EDGE))
+        for n, part in enumerate(parts):
+            begun.append((n, ends[-1][0], ends[-1][1], EDGE))
             on, least = [], {}
             for first, cost, p, q in begun:
                 for x in part:
                     more, p, q = self._add(p, q, x)
                     cost += more
                 on.append((first, cost, p, q))
-                least[p, q] = min(cost, least.get((p, q), math.inf))
+                least[p, q] = min((cost, first), least.get((p, q), (math.inf, 0)))
             # From equal symbols words go on alike, so what is too costly here stays so.
-            begun = [w for w in on if w[1] <= least[w[2:]] + MARGIN]
+            begun = [w for w in on if (best := least[w[2:]])[1] == w[0]
+                     or w[1] <= best[0] + MARGIN and at[n + 1] - at[w[0]] <= WINDOW]
             edges.append([(first, cost + self.cost[p][q][EDGE] + BREAK - ends[first][0]) for first, cost, p, q in begun])
             ends.append((min(ends[first][0] + cost for first, cost in edges[-1]), symbols(part[-1])[-1]))
         rest = [math.inf] * len(parts) + [0.0]
@@ -168,8 +194,13 @@ class LetterModel:
         for last in range(len(parts) - 1, -1, -1):
             for first, cost in edges[last]:
                 rest[first] = min(rest[first], cost + rest[last + 1])
-                if ends[first][0] + cost + rest[last + 1] <= ends[-1][0] + MARGIN:
+                if ends[first][0] + cost + rest[last + 1] <= ends[-1][0] + MARGIN and at[last + 1] - at[first] <= WINDOW:
                     words.add("".join(parts[first : last + 1]))
+        last = len(parts)
+        while last:
+            first = min(edges[last - 1], key=lambda e: ends[e[0]][0] + e[1])[0]
+            words.add("".join(parts[first:last]))
+            last = first
         return words
 
 
@@ -182,14 +213,14 @@ def spans(low: str) -> Iterator[str]:
     """Spans of a lower-case text that may hide a word."""
     if _SIGN.search(low):
         yield from (m.group() for m in _MIXED.finditer(low))
-    if any(t in low for t in _TRIPLES):
+    if any(t in low for t in _TRIPLES) or not low.isascii() and _TRIPLE.search(low):
         yield from (m.group() for m in _TRIPLED.finditer(low))
     yield from (m.group() for m in _SPACED.finditer(low))
 
 
 def restored_words(low: str, model: LetterModel) -> set[str]:
     """Words restored from the spans of a lower-case text that hide one."""
-    return {w for h in {s.strip() for s in spans(low)} if len(h) <= LONGEST for w in model.restore(h)}
+    return {w for s in set(spans(low)) for h in {s.strip(), s.strip(MARKS)} if h for w in model.restore(h)}
 
 
 def features(text: str | None, model: LetterModel) -> set[str]:

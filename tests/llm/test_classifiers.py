@@ -1,6 +1,7 @@
 """Quality and toxicity: held-out accuracy, odd input, and what each step gives."""
 
 import sys
+import time
 from collections import Counter
 from pathlib import Path
 
@@ -99,6 +100,24 @@ def test_hidden_words_are_parted(tables):
     assert toxicity.restored_words("x" * 3 + " well-known", model.letters) >= {"well", "known"}
 
 
+def test_spans_of_any_length_and_language_are_read(tables):
+    model = toxicity.letter_model(tables[0])
+    for hidden, word in {
+            "s t u p i d " * 8: "stupid", "stu" + "u" * 45 + "pid": "stupid", "i.d.i.o.t." * 6 + "x": "idiot", "(10wn": "clown",
+            "m0r0n!!!!": "moron", "motherfuck3r": "motherfucker", "caf-é": "café", "d-é-b-i-l-e": "débile", "d é b i l e": "débile",
+            "débi1e": "débile", "d3bílé": "debílé", "débiiiile": "débile", "id-----iot": "idiot", "ééé é": "é"}.items():
+        assert word in toxicity.restored_words(hidden, model), hidden
+    assert toxicity.restored_words("f****r", model) and toxicity.restored_words("motherfuck3", model)
+
+
+@pytest.mark.parametrize("text", ["1" * 200_000 + "a", "a1" * 20_000, "a " * 10_000, "1 " * 5_000, "a*" * 100 + "*" * 300 + "b", "x" * 200_000, "-." * 100_000])
+def test_long_spans_take_linear_time(text):
+    model = toxicity.LetterModel(toxicity.count_letters("plain words of some text"))
+    begun = time.monotonic()
+    toxicity.restored_words(text, model)
+    assert time.monotonic() - begun < 20
+
+
 def test_hidden_toxic_words_are_scored(tables):
     docs, labels = tables
     model = toxicity.train(docs, labels, F.lit(True))
