@@ -106,7 +106,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int, window: in
         end, width = np.array([end_id], encoder.dtype).tobytes(), encoder.dtype.itemsize
         keys, ids, tokens = [], [], 0
         sequence = TaskContext.get().partitionId() << 36
-        for batch in slices(batches, 256):
+        for batch in slices(batches, 4096):
             keys += batch.column(0).to_pylist()
             some = [x + end for x in encoder.encode(batch.column(1).to_pylist())]
             ids += some

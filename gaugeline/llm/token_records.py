@@ -84,7 +84,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
         own = f"{top}/attempt-{uuid.uuid4().hex}"
         index, at, total = [], 0, 0
         out = None
-        for batch in slices(batches):
+        for batch in slices(batches, 4096):
             if out is None:
                 store.create_dir(top, recursive=True)
                 out = store.open_output_stream(f"{own}.data")
