@@ -13,6 +13,7 @@ from gaugeline.llm import (
     embedding_links,
     mixing,
     packing,
+    periodic_runs,
     quality,
     simhash,
     token_counts,
@@ -20,7 +21,7 @@ from gaugeline.llm import (
     toxicity,
     warc_zip,
 )
-from gaugeline.llm.common import load
+from gaugeline.llm.common import WORD, load
 from gaugeline.session import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,6 +188,32 @@ def _(spark, sf_dir):
     return found.select("query_id", "rank", "doc_id", F.round("score", 4).alias("score"))
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id, text: one document in ten goes on periodically from some word on, as the contract of op12 says."""
+    words = (
+        docs.select("doc_id", "text", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h"))
+        .withColumn("w", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))))
+        .withColumn("a", F.expr("cast(h div 10 % nullif(size(w), 0) as int)"))
+        .withColumn("p", F.expr("cast(1 + (size(w) - a) div (3 + h div 10 % 8) as int)"))
+    )
+    periodic = F.expr("array_join(transform(w, (x, i) -> if(i < a, x, w[a + (i - a) % p])), ' ')")
+    return words.select("doc_id", F.when(F.size("w") > 0, periodic).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def _(spark, sf_dir):
+    found = periodic_runs.periodic_runs(with_planted_periods(load(spark, sf_dir, "documents")))
+    best = F.expr("""aggregate(runs, cast(null as struct<start: bigint, length: bigint, period: bigint>), (b, r) -> case
+        when b is null or r.length * b.period > b.length * r.period then r
+        when r.length * b.period = b.length * r.period and struct(r.start, r.period) < struct(b.start, b.period) then r
+        else b end)""")
+    listed = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", best).select(
+        F.col("key").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def _(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)

@@ -62,11 +62,11 @@ class Generations:
         return out
 
 
-def portions(texts: list[str | None]) -> Iterator[list[str | None]]:
-    """The texts in portions of at most about ``AT_ONCE`` characters, one text at least."""
+def portions(texts: list[str | None], most: int = AT_ONCE) -> Iterator[list[str | None]]:
+    """The texts in portions of at most ``most`` characters, one text at least."""
     begin = size = 0
     for end, text in enumerate(texts):
-        if size and size + len(text or "") > AT_ONCE:
+        if size and size + len(text or "") > most:
             yield texts[begin:end]
             begin, size = end, 0
         size += len(text or "")
