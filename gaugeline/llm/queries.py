@@ -16,6 +16,7 @@ from gaugeline.llm import (
     periodic_runs,
     quality,
     simhash,
+    source_divergence,
     token_counts,
     token_records,
     toxicity,
@@ -214,6 +215,32 @@ def _(spark, sf_dir):
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+DIVERGENCE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term FROM w GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+a AS (SELECT lang, source, term, coalesce(c.n, 0) AS n FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT lang, source, term, n, 1 + 1000000000::HUGEINT * (n + 5) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p
+      FROM a JOIN v USING (lang)),
+q AS (SELECT lang, term, 1 + 1000000000::HUGEINT * (sum(n) + 5) // (sum(sum(n)) OVER (PARTITION BY lang) + 5 * any_value(v)) AS q
+      FROM a JOIN v USING (lang) GROUP BY lang, term),
+f AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS f FROM p x JOIN p y USING (lang, term) GROUP BY ALL),
+s AS (SELECT g.lang, g.source, 'pair' AS part, o.source AS item, coalesce(f, 0) AS f FROM g JOIN g o ON g.lang = o.lang AND g.source <> o.source
+      LEFT JOIN f ON f.lang = g.lang AND f.source = g.source AND f.item = o.source
+      UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+n AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY f DESC, item COLLATE "C") AS rank FROM s)
+SELECT lang, source, part, item, CAST(f AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM n WHERE part = 'pair' OR rank <= 50"""
+
+
+@query("op13_source_divergence", DIVERGENCE_SQL)
+def _(spark, sf_dir):
+    return source_divergence.source_divergence(load(spark, sf_dir, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def _(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
