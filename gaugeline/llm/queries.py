@@ -13,6 +13,7 @@ from gaugeline.llm import (
     embedding_links,
     mixing,
     packing,
+    pattern_packing,
     periodic_runs,
     quality,
     simhash,
@@ -189,6 +190,12 @@ def _(spark, sf_dir):
     return found.select("query_id", "rank", "doc_id", F.round("score", 4).alias("score"))
 
 
+@query("op11_pattern_packing")
+def _(spark, sf_dir):
+    pieces = pattern_packing.pack_documents(load(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), end_id=1)
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """doc_id, text: one document in ten goes on periodically from some word on, as the contract of op12 says."""
     words = (
