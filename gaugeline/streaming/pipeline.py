@@ -16,16 +16,22 @@ from gaugeline.operators.collect import quarantined, storable, telemetry_rows
 from gaugeline.operators.merge import insert_if_absent, matching_keys
 from gaugeline.operators.publish import queue_rows
 from gaugeline.schemas import FLUSH_INTERVAL, TELEMETRY_COLUMNS, TOPIC, VIRTUAL_PARTITIONS
+from gaugeline.sources.files import remove
+from gaugeline.sources.keys import KeyTable
 from gaugeline.sources.tables import (
     append_queue,
     append_telemetry,
     batch_complete,
     finish_delete,
     next_id,
-    remove,
+    queue_keys,
+    raise_mark,
+    reserve_ids,
+    scan_batches,
     scan_queue,
     scan_telemetry,
     table_exists,
+    telemetry_keys,
 )
 
 
@@ -47,17 +53,25 @@ def _batch_name(batch: DataFrame, batch_id: int) -> str:
     return f"{query}-{batch_id}"
 
 
-def _read_staged(rows: DataFrame, folder: str, queue_path: str) -> tuple[DataFrame, int]:
-    """``rows`` written once, and the first id for them: a replay reads what the first complete attempt wrote.
+def _read_staged(rows: DataFrame, folder: str, queue_path: str) -> tuple[DataFrame, int, int]:
+    """``rows`` written once, the first id for them and their number: a replay reads what the first complete attempt wrote.
 
-    Ids go on from the greatest one that was ever stored.
+    Ids are reserved for them, after the greatest one that was ever given; rows that bring their own reserve those.
     """
     spark = rows.sparkSession
     if not table_exists(spark, folder) or not table_exists(spark, f"{folder}/_done"):
         rows.write.mode("overwrite").parquet(f"{folder}/rows")
-        first = next_id(spark, queue_path)
-        spark.range(first, first + 1).write.mode("overwrite").parquet(f"{folder}/_done")
-    return spark.read.parquet(f"{folder}/rows"), spark.read.parquet(f"{folder}/_done").head()[0]
+        staged = spark.read.schema(rows.schema).parquet(f"{folder}/rows")
+        size, last = staged.agg(F.count("*"), F.max("id") if "id" in rows.columns else F.lit(None)).head()
+        if "id" not in rows.columns:
+            first = reserve_ids(spark, queue_path, size)
+        else:
+            first = next_id(spark, queue_path)
+            if last is not None and last >= first:
+                raise_mark(spark, queue_path, last)
+        spark.createDataFrame([(first, size)], "first bigint, size bigint").coalesce(1).write.mode("overwrite").parquet(f"{folder}/_done")
+    done = spark.read.schema("first bigint, size bigint").parquet(f"{folder}/_done").head()
+    return spark.read.schema(rows.schema).parquet(f"{folder}/rows"), done[0], done[1]
 
 
 def number_rows(staged: DataFrame, first: int, position: str = "_at") -> DataFrame:
@@ -112,17 +126,35 @@ def publish_batch(
         "_at", F.monotonically_increasing_id()
     )
     folder = f"{staging.rstrip('/')}/{batch}"
-    staged, first = _read_staged(placed, folder, queue_path)
+    staged, first, size = _read_staged(placed, folder, queue_path)
     messages = queue_rows(staged.drop("_at") if given else number_rows(staged, first), at)
     if keys is not None:
-        held = None
+        known = queue_keys(spark, queue_path)
         if table_exists(spark, queue_path):
-            held = matching_keys(scan_queue(spark, queue_path), staged, ["topic", "msg_uuid"])
-        messages = insert_if_absent(held, messages, ["topic", "msg_uuid"], ["id"])
-    append_queue(messages, queue_path, batch, replace=True)
+            if not known.exists():
+                known.build(scan_queue(spark, queue_path))
+            messages = insert_if_absent(still_queued(known, staged, queue_path, batch), messages, known.keys, ["id"])
+        else:
+            messages = insert_if_absent(None, messages, known.keys, ["id"])
+        # Keys first: one without its message, left by an attempt that was broken off, is looked for and not found.
+        known.append(staged, batch, size)
+    append_queue(messages, queue_path, batch, True, True)
     remove(spark, folder)
 
 
+def still_queued(known: KeyTable, rows: DataFrame, queue_path: str, batch: str) -> DataFrame | None:
+    """The keys of ``rows`` that other batches have brought and the queue still has.
+
+    The key table names those batches, and no others are read; none if no key is known, as for new messages.
+    """
+    found = known.held(rows).filter(F.col("batch") != batch)
+    batches = [r[0] for r in found.select("batch").distinct().collect()]  # at most one for each row of the batch
+    if not batches:
+        return None
+    stored = scan_batches(rows.sparkSession, queue_path, None if "" in batches else batches)
+    return stored.select(*known.keys).join(found.select(*known.keys), known.keys, "left_semi").distinct()
+
+
 def publish_stream(
     readings: DataFrame,
     queue_path: str,
@@ -155,8 +187,8 @@ def collect_batch(
 ) -> None:
     """Store a batch of messages; repeating it, or a part of it, adds nothing.
 
-    A message id is stored once, whatever time it comes with: the ids of the whole table are
-    searched, of which only the ones in the batch leave the scan.
+    A message id is stored once, whatever time it comes with. The table's key table is asked, of which only the
+    buckets of the batch's ids are read; the table itself only for keys that a broken-off batch has left.
     """
     spark = messages.sparkSession
     # Read four times below: the payloads should be parsed once.
@@ -164,11 +196,16 @@ def collect_batch(
     try:
         now = at if at is not None else F.current_timestamp()
         good = storable(rows).withColumn("ingested_at", now).select(*TELEMETRY_COLUMNS)
-        if rows.count():  # fills the cache, so that Spark knows the size of the batch
-            held = None
-            if table_exists(spark, telemetry_path):
-                held = matching_keys(scan_telemetry(spark, telemetry_path), good, ["msg_uuid"])
-            append_telemetry(insert_if_absent(held, good, ["msg_uuid"], ["id"]), telemetry_path)
+        size = rows.count()  # fills the cache, so that Spark knows the size of the batch
+        if size:
+            known = telemetry_keys(spark, telemetry_path)
+            if table_exists(spark, telemetry_path) and not known.exists():
+                known.build(scan_telemetry(spark, telemetry_path))
+            held = already_stored(known, good, telemetry_path) if known.exists() else None
+            known.begin(batch)
+            known.append(insert_if_absent(held, good.select(*known.keys), known.keys), batch, size)
+            append_telemetry(insert_if_absent(held, good, known.keys, ["id"]), telemetry_path, None, True)
+            known.end(batch)
         bad = quarantined(rows)
         if mode == "quarantine" and not bad.isEmpty():
             bad.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/batch={batch}")
@@ -176,6 +213,18 @@ def collect_batch(
         rows.unpersist()
 
 
+def already_stored(known: KeyTable, rows: DataFrame, telemetry_path: str) -> DataFrame | None:
+    """The keys of ``rows`` that the table has, none if all are new. Keys of pending batches count only if the table has their rows."""
+    found, pending = known.held(rows), known.pending()
+    if found.isEmpty():
+        return None
+    if not pending:
+        return found
+    doubtful = found.filter(F.col("batch").isin(pending))
+    sure = found.filter(~F.col("batch").isin(pending)).select(*known.keys)
+    return sure.unionByName(matching_keys(scan_telemetry(rows.sparkSession, telemetry_path), doubtful, known.keys)).distinct()
+
+
 def collect_stream(
     queue: DataFrame,
     telemetry_path: str,
