@@ -52,8 +52,13 @@ def shape_uuid(hex32: Column) -> Column:
 
 
 def keyed_uuid(keys: list[Column], namespace: str = "telemetry") -> Column:
-    """An id that is the same whenever the source keys are the same."""
+    """An id that is the same whenever the source keys are the same, and different for any others.
+
+    Of several keys each is preceded by its length, so that no two lists of keys give one text.
+    """
     parts = [F.coalesce(k.cast("string"), F.lit("\x00")) for k in keys]
+    if len(parts) > 1:
+        parts = [F.concat(F.length(p).cast("string"), F.lit("#"), p) for p in parts]
     return shape_uuid(F.md5(F.concat_ws(":", F.lit(namespace), *parts)))
 
 

@@ -16,6 +16,7 @@ _PAYLOAD_FIELDS = ", ".join(
 STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 # Why a publish request is refused.
+INVALID_JSON = "invalid JSON"
 TOPIC_REQUIRED = "topic is required"
 MESSAGES_EMPTY = "messages must not be empty"
 NOT_AN_OBJECT = "message must be a JSON object"
@@ -172,34 +173,48 @@ def parse_payload(df: DataFrame, payload: str = "payload") -> DataFrame:
 
 
 def parse_publish_body(df: DataFrame, body: str = "body") -> DataFrame:
-    """A raw request body to ``topic`` and ``messages``; both NULL when it is not JSON.
+    """A raw request body to ``topic`` and ``messages``, and ``invalid_json`` where it cannot be read as a request.
 
-    Message objects keep their text. A message that is itself JSON text is quoted again, so
-    that it is not taken for the object it may contain.
+    The first JSON value of a body counts; what follows an object does not matter. Names of members match in any case. The
+    last topic that is not null counts, and the last list of messages, null for none. A body that is no object, a topic that is no text
+    or messages that are no list cannot be read: ``topic`` and ``messages`` are NULL then. A body that is just null
+    is a request without members. Message objects keep their text but for white space and the way numbers are written. A message that is
+    itself JSON text is quoted again, so that it is not taken for the object it may contain.
     """
-    request = F.from_json(F.col(body), "topic string, messages array<string>", STRICT_JSON)
-    kinds = F.transform(
-        F.from_json(F.col(body), "messages array<variant>", STRICT_JSON)["messages"],
-        F.schema_of_variant,
-    )
-    quoted = F.transform(
-        request["messages"],
-        lambda m, i: F.when(
-            F.get(kinds, i) == "STRING",
-            F.concat(F.lit('"'), F.replace(m, F.lit('"'), F.lit('\\"')), F.lit('"')),
-        ).otherwise(F.coalesce(m, F.lit("null"))),
+    strict = ", ".join(f"'{k}', '{v}'" for k, v in STRICT_JSON.items())
+
+    def members(kind: str) -> str:
+        return f"map_entries(from_json(_body, 'map<string,{kind}>', map({strict})))"
+
+    # Members in their order, with value and type; and with the value's own text.
+    typed = "named_struct('k', lower(y.key), 't', coalesce(schema_of_variant(y.value), 'VOID'), 'v', y.value)"
+    read = F.expr(f"""named_struct(
+        'e', CASE WHEN _body RLIKE r'^[ \\t\\r\\n]*null([ \\t\\r\\n]|$)' THEN array() ELSE transform({members('variant')}, y -> {typed}) END,
+        'raw', try_element_at(filter({members('string')}, y -> lower(y.key) = 'messages'), -1).value)""")
+    mistyped = "exists(e, x -> (x.k = 'topic' AND x.t NOT IN ('STRING', 'VOID')) OR (x.k = 'messages' AND x.t <> 'VOID' AND NOT startswith(x.t, 'ARRAY')))"
+    request = F.expr(f"""named_struct(
+        'invalid', e IS NULL OR {mistyped}, 'topic', coalesce({_last('topic', 'string')}, ''),
+        'texts', from_json(raw, 'array<string>', map({strict})),
+        'kinds', transform(from_json(raw, 'array<variant>', map({strict})), v -> schema_of_variant(v)))""")
+    quoted = F.expr("""transform(texts, (m, i) -> CASE WHEN get(kinds, i) = 'STRING'
+        THEN concat('"', replace(replace(m, '\\\\', '\\\\\\\\'), '"', '\\\\"'), '"') ELSE coalesce(m, 'null') END)""")
+    added = ("topic", "messages", "invalid_json")
+    others = [c for c in df.columns if c not in added]
+    parsed = (
+        df.select(*others, F.coalesce(F.col(body), F.lit("")).alias("_body"))
+        .select(*others, F.inline(F.array(read)).alias("e", "raw"))
+        .select(*others, F.inline(F.array(request)).alias("invalid_json", "_topic", "texts", "kinds"))
     )
-    is_object = F.json_object_keys(F.col(body)).isNotNull()
-    return df.withColumns({
-        "topic": F.when(is_object, F.coalesce(request["topic"], F.lit(""))),
-        "messages": F.when(is_object, quoted),
-    })
+    return parsed.select(
+        *others, F.when(~F.col("invalid_json"), F.col("_topic")).alias("topic"),
+        F.when(~F.col("invalid_json"), quoted).alias("messages"), "invalid_json")
 
 
-def publish_problem(topic: str = "topic", messages: str = "messages") -> Column:
+def publish_problem(topic: str = "topic", messages: str = "messages", invalid: str = "false") -> Column:
     """Why a publish request is refused, or NULL; the first bad message is named."""
     numbered = f"transform({messages}, (m, i) -> concat('messages[', i, ']: ', {_problem('m')}))"
     return F.expr(f"""
-        CASE WHEN coalesce({topic}, '') = '' THEN '{TOPIC_REQUIRED}'
+        CASE WHEN {invalid} THEN '{INVALID_JSON}'
+             WHEN coalesce({topic}, '') = '' THEN '{TOPIC_REQUIRED}'
              WHEN coalesce(size({messages}), 0) <= 0 THEN '{MESSAGES_EMPTY}'
              ELSE get(filter({numbered}, p -> p IS NOT NULL), 0) END""")

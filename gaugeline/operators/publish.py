@@ -14,9 +14,11 @@ from gaugeline.schemas import QUEUE_COLUMNS, VIRTUAL_PARTITIONS
 def validate_publish(requests: DataFrame) -> DataFrame:
     """Add ``error``: why the whole request is refused, NULL when it is accepted.
 
-    A request's messages are checked within its row; nothing is shuffled.
+    A request's messages are checked within its row; nothing is shuffled. Raw bodies that could not be read
+    (``invalid_json``) are refused as such.
     """
-    return requests.withColumn("error", publish_problem())
+    invalid = "invalid_json" if "invalid_json" in requests.columns else "false"
+    return requests.withColumn("error", publish_problem(invalid=invalid))
 
 
 def explode_publish(requests: DataFrame) -> DataFrame:

@@ -269,6 +269,22 @@ def _(spark, sf_dir):
 # --- Payloads and envelopes --------------------------------------------------------------
 
 
+@query("msg_uuid_of_keys", f"""
+    WITH k AS (SELECT event_id, 1 AS way, event_type || ':' || user_id AS a, CAST(event_id AS VARCHAR) AS b FROM events
+               UNION ALL SELECT event_id, 2, event_type, user_id || ':' || event_id FROM events
+               UNION ALL SELECT event_id, 3, event_type || '#', NULL FROM events)
+    SELECT event_id, way, {S.message_id(S.key_list("a", "b"))} AS msg_uuid, count(*) OVER (PARTITION BY a, b) AS same FROM k""")
+def _(spark, sf_dir):
+    """Two keys that hold the separator: the same text when joined, but different ids."""
+    events = A.load(spark, sf_dir)
+    ways = [("concat(event_type, ':', user_id)", "cast(event_id as string)"), ("event_type", "concat(user_id, ':', event_id)"),
+            ("concat(event_type, '#')", "cast(null as string)")]
+    rows = F.explode(F.array(*[F.struct(F.lit(i + 1).alias("way"), F.expr(a).alias("a"), F.expr(b).alias("b")) for i, (a, b) in enumerate(ways)]))
+    made = identity.assign_msg_uuid(events.select("event_id", rows.alias("r")).select("event_id", "r.*"), ["a", "b"])
+    same = made.groupBy("msg_uuid").agg(F.count("*").alias("same"))
+    return made.join(same, "msg_uuid").select("event_id", "way", "msg_uuid", "same")
+
+
 @query("payload_roundtrip", S.with_(S.READINGS, f"""
     SELECT id, gpu_id AS extracted, true AS parse_ok, {READING_SQL} FROM readings"""))
 def _(spark, sf_dir):
@@ -322,7 +338,7 @@ def _(spark, sf_dir):
 
 @query("publish_messages", S.with_(S.REQUESTS, f"""
     SELECT request_id, v.topic, "index", gpu_id,
-           {S.message_id("request_id || ':' || \"index\"")} AS msg_uuid, p.partition_key
+           {S.message_id(S.key_list("request_id", '"index"'))} AS msg_uuid, p.partition_key
     FROM judged j JOIN validated v USING (request_id)
     JOIN (SELECT gpu_id, CAST({S.fnv('gpu_id')} % 256 AS INTEGER) AS partition_key
           FROM (SELECT DISTINCT gpu_id FROM readings)) p USING (gpu_id)
@@ -335,17 +351,39 @@ def _(spark, sf_dir):
     )
 
 
-@query("publish_body", S.with_(S.REQUESTS, "SELECT request_id, topic, n, error FROM validated"))
-def _(spark, sf_dir):
-    """The same requests as raw bodies."""
-    rows = A.requests(A.load(spark, sf_dir))
-    body = F.concat(
-        F.lit('{"topic": "'), F.col("topic"), F.lit('", "messages": ['),
-        F.array_join("messages", ", "), F.lit("]}"),
-    )
-    parsed = payload.parse_publish_body(rows.select("request_id", body.alias("body")))
+# Bodies that are not what a careful sender writes, by the last digits of the request's number: text, error, number of messages.
+ODD_BODIES = {
+    1: ("concat('{\"topic\": 3, \"messages\": ', list, '}')", "'invalid JSON'", "NULL"),
+    2: ("concat('{\"Messages\": ', list, ', \"TOPIC\": \"t\"}')", "bad", "n"),
+    3: ("'nope'", "'invalid JSON'", "NULL"),
+    4: ("concat('[', list, ']')", "'invalid JSON'", "NULL"),
+    5: ("'{\"topic\": \"t\", \"messages\": {}}'", "'invalid JSON'", "NULL"),
+    6: ("'{\"topic\": \"t\", \"messages\": \"x\"}'", "'invalid JSON'", "NULL"),
+    7: ("concat('{\"topic\": \"t\", \"messages\": ', list, '} and more')", "bad", "n"),
+    8: ("concat('{\"topic\": \"t\", \"messages\": ', list, ', \"messages\": null}')", "'messages must not be empty'", "NULL"),
+    9: ("concat('{\"topic\": \"t\", \"messages\": ', list)", "'invalid JSON'", "NULL"),
+    10: ("concat('{\"topic\": \"\", \"topic\": \"t\", \"topic\": null, \"messages\": ', list, '}')", "bad", "n"),
+    11: ("' null '", "'topic is required'", "NULL"),
+}
+ODD = 17
+
+
+def _by_digits(column: int, other: str) -> str:
+    return "CASE " + " ".join(f"WHEN request_id % {ODD} = {k} THEN {v[column]}" for k, v in ODD_BODIES.items()) + f" ELSE {other} END"
+
+
+@query("publish_body", S.with_(S.REQUESTS, f"""
+    SELECT v.request_id, {_by_digits(1, "error")} AS error, CAST({_by_digits(2, "n")} AS BIGINT) AS n
+    FROM (SELECT v.request_id, v.error, v.n, r.bad FROM validated v JOIN requests r USING (request_id)) v"""))
+def _(spark, sf_dir):
+    """The same requests as raw bodies, some of them odd or not readable."""
+    rows = A.requests(A.load(spark, sf_dir)).withColumn(
+        "list", F.concat(F.lit("["), F.array_join("messages", ", "), F.lit("]")))
+    usual = "concat('{\"topic\": \"', topic, '\", \"messages\": ', list, '}')"
+    parsed = payload.parse_publish_body(rows.select("request_id", F.expr(_by_digits(0, usual)).alias("body")))
     checked = publish.validate_publish(parsed)
-    return checked.select("request_id", "topic", F.size("messages").cast("bigint").alias("n"), "error")
+    n = F.when(F.col("messages").isNotNull(), F.size("messages").cast("bigint"))
+    return checked.select("request_id", "error", n.alias("n"))
 
 
 # --- Publishing --------------------------------------------------------------------------

@@ -5,6 +5,12 @@ from __future__ import annotations
 from gaugeline.functions.identity import FNV_MASK, FNV_OFFSET, FNV_PRIME
 
 
+def key_list(*keys: str) -> str:
+    """Several keys as one text, each with its length in front; NUL for NULL."""
+    texts = [f"coalesce(CAST({k} AS VARCHAR), chr(0))" for k in keys]
+    return " || ':' || ".join(f"length({t}) || '#' || {t}" for t in texts)
+
+
 def message_id(key: str) -> str:
     h = f"md5('telemetry:' || {key})"
     return (

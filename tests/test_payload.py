@@ -124,3 +124,37 @@ def test_publish_body(spark):
     ]
     broken = payload.parse_publish_body(spark.createDataFrame([("nope",)], "body string")).first()
     assert broken.topic is None and broken.messages is None
+
+
+GOOD = '{"gpu_id":"1"}'
+BODIES = [
+    (f'{{"topic":3,"messages":[{GOOD}]}}', "invalid JSON"), (f'{{"Topic":"t","Messages":[{GOOD}]}}', None), ("nope", "invalid JSON"),
+    ("[1]", "invalid JSON"), ('"x"', "invalid JSON"), ("3", "invalid JSON"), ("", "invalid JSON"), (None, "invalid JSON"),
+    ("null", "topic is required"), (" null x", "topic is required"), ("nullx", "invalid JSON"),
+    ('{"topic":"t","messages":{}}', "invalid JSON"), ('{"topic":"t","messages":"x"}', "invalid JSON"),
+    ('{"topic":"t","messages":null}', "messages must not be empty"), ('{"topic":"t","messages":[]}', "messages must not be empty"),
+    (f'{{"topic":null,"messages":[{GOOD}]}}', "topic is required"), (f'{{"topic":"","TOPIC":"u","messages":[{GOOD}]}}', None),
+    (f'{{"topic":"t","topic":null,"messages":[{GOOD}]}}', None),
+    (f'{{"topic":"t","messages":[{GOOD}],"MESSAGES":null}}', "messages must not be empty"),
+    (f'{{"topic":"t","messages":[{GOOD}],"messages":[{{}}]}}', "messages[0]: gpu_id is required"),
+    (f'{{"topic":"t","messages":[{GOOD}]}} and more', None), (f'{{"topic":"t","messages":[{GOOD}', "invalid JSON"),
+    ("{'topic':'t'}", "invalid JSON"), ('{"topic":"t","messages":[1]}', "messages[0]: message must be a JSON object"),
+    ('{"topic":"t","messages":["a\\\\\\"b"]}', "messages[0]: message must be a JSON object"),
+    ("{}", "topic is required"), (f'{{"other":[1,{{"topic":5}}],"topic":"t","messages":[{GOOD}]}}', None),
+    (f'{{"topic":["t"],"topic":"t","messages":[{GOOD}]}}', "invalid JSON"),
+]
+
+
+def test_odd_bodies(spark):
+    rows = spark.createDataFrame([(i, b, "kept") for i, (b, _) in enumerate(BODIES)], "i int, body string, topic string")
+    got = publish.validate_publish(payload.parse_publish_body(rows)).orderBy("i").collect()
+    assert [r.error for r in got] == [e for _, e in BODIES]
+    assert all((r.topic is None) == (r.error == "invalid JSON") for r in got)
+
+
+def test_ids_of_several_keys_differ(spark):
+    from gaugeline.functions.identity import assign_msg_uuid
+
+    pairs = [("a:b", "c"), ("a", "b:c"), ("a", "b"), ("ab", ""), ("", "ab"), (None, "a"), ("a", None), ("1#a", "2#b"), ("1", "#a:2#b"), ("\x00", "a#")]
+    ids = [r.msg_uuid for r in assign_msg_uuid(spark.createDataFrame(pairs, "x string, y string"), ["x", "y"]).collect()]
+    assert len(set(ids)) == len(pairs)
