@@ -74,11 +74,9 @@ def outstanding_leases(leases: DataFrame, acks: DataFrame, as_of: Column | dt.da
     return settled_leases(leases, acks, as_of).filter("status = 'in_flight'").select(*_LEASE_KEEP)
 
 
-def _history(leases: DataFrame, acks: DataFrame, as_of: Column | dt.datetime | str) -> DataFrame:
+def _history(statuses: DataFrame) -> DataFrame:
     """One row per message that was ever served: in how many leases, and how those stand."""
-    served = settled_leases(leases, acks, as_of).select(
-        F.explode("ids").alias("id"), "status"
-    )
+    served = statuses.select(F.explode("ids").alias("id"), "status")
     return served.groupBy("id").agg(
         F.count_if(F.col("status") == "acked").alias("_acked"),
         F.count_if(F.col("status") == "in_flight").alias("_in_flight"),
@@ -94,7 +92,12 @@ def message_state(
     A message's leases are reduced to flags before they meet the queue: one row per id on
     both sides of that join.
     """
-    history = _history(leases, acks, as_of)
+    return states_of_messages(queue, settled_leases(leases, acks, as_of))
+
+
+def states_of_messages(queue: DataFrame, statuses: DataFrame) -> DataFrame:
+    """The same from leases whose ``status`` is known, such as those that the lease stream has written."""
+    history = _history(statuses)
     state = (
         F.when(F.col("_acked") > 0, "acked").when(F.col("_in_flight") > 0, "in_flight")
         .otherwise("ready")
@@ -108,7 +111,7 @@ def redelivery(
     queue: DataFrame, leases: DataFrame, acks: DataFrame, as_of: Column | dt.datetime | str
 ) -> DataFrame:
     """Messages that will be served again: served before, neither acknowledged nor in flight."""
-    again = _history(leases, acks, as_of).filter("_acked = 0 AND _in_flight = 0")
+    again = _history(settled_leases(leases, acks, as_of)).filter("_acked = 0 AND _in_flight = 0")
     return queue.join(again.select("id", F.col("_served").alias("served")), "id").select(
         *queue.columns, "served"
     )

@@ -24,6 +24,7 @@ from gaugeline.plans import sql as S
 from gaugeline.schemas import ENTRY_COLUMNS, READING_COLUMNS, TELEMETRY_COLUMNS
 from gaugeline.session import work_folder
 from gaugeline.sources import csv_files, tables
+from gaugeline.streaming import leases as lease_states
 from gaugeline.streaming import pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -851,6 +852,38 @@ def _(spark, sf_dir):
     return csv_files.read_telemetry_csv(spark, folder, mode="strict")
 
 
+@query("csv_split", S.with_(S.READINGS, """
+    SELECT id, 'first' || chr(10) || '"' || id || '",' || chr(10) || 'last' AS labels_raw, value, "timestamp" FROM readings"""))
+def _(spark, sf_dir):
+    """Two files with line breaks and quotes in every record, each cut by several tasks."""
+    rows = A.readings(A.load(spark, sf_dir))
+    texts = F.concat(F.lit("first\n\""), F.col("id"), F.lit("\",\nlast"))
+    folder = work_folder(spark, "csv-split")
+    csv_files.write_telemetry_csv(rows.withColumns({"labels_raw": texts, "pod": F.col("id").cast("string")}).repartition(2, "id"), folder)
+    usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 << 10))
+    try:
+        back = csv_files.read_telemetry_csv(spark, folder, multi_line="split")
+        stored = work_folder(spark, "csv-read")
+        back.write.parquet(stored)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", usual)
+    return spark.read.parquet(stored).select(F.col("pod").cast("bigint").alias("id"), "labels_raw", "value", "timestamp")
+
+
+@query("csv_rejects", S.with_(S.READINGS, """
+    SELECT id || ',short' AS record, 2 AS fields FROM readings WHERE id % 7 = 0"""))
+def _(spark, sf_dir):
+    """One record in seven has two fields only."""
+    rows = csv_files.csv_texts(A.readings(A.load(spark, sf_dir)).withColumn("pod", F.col("id").cast("string")))
+    line = F.when(F.col("pod").cast("bigint") % 7 == 0, F.concat("pod", F.lit(",short"))).otherwise(
+        F.array_join(F.array(*[F.concat(F.lit('"'), F.replace(F.col(c), F.lit('"'), F.lit('""')), F.lit('"')) for c in READING_COLUMNS]), ","))
+    folder = work_folder(spark, "csv-rejects")
+    header = spark.createDataFrame([(",".join(READING_COLUMNS),)], "value string")
+    header.unionByName(rows.select(line.alias("value"))).coalesce(1).write.text(folder)
+    return csv_files.read_rejected_csv(spark, folder).select("record", "fields")
+
+
 @query("csv_by_header", S.with_(S.READINGS, f"SELECT {READING_SQL} FROM readings"))
 def _(spark, sf_dir):
     """Columns in another order, under other spellings, with one more."""
@@ -1006,3 +1039,30 @@ def _(spark, sf_dir):
     )
     lost = pipeline.unacked_stream(stream.select("lease_id", "sent_at"), acked)
     return _drain(lost, "unacked")
+
+
+@query("stream_lease_state", S.with_(S.STATES, "SELECT id, state, served FROM states"))
+def _(spark, sf_dir):
+    """message_state from leases and acknowledgements as streams, which stop half-way and start again.
+
+    Besides what happened by then there is one acknowledgement of no lease, late enough for the watermark to reach that time.
+    """
+    events, granted, acked = delivery(spark, sf_dir)
+    now = A.as_of(granted)
+    grants, replies = work_folder(spark, "grants"), work_folder(spark, "replies")
+    table, checkpoint = work_folder(spark, "transitions"), work_folder(spark, "checkpoint-leases")
+    served = granted.filter(F.col("served_at").cast("timestamp") <= now)
+    middle = served.agg(F.percentile_approx(F.col("served_at").cast("timestamp"), 0.5)).head()[0]
+    late = spark.range(1).select(F.lit("none").alias("lease_id"), (now + F.expr("INTERVAL 1 MINUTE")).cast("timestamp").alias("acked_at"))
+    for part in (0, 1):
+        first = F.lit(part == 0)
+        served.filter((F.col("served_at").cast("timestamp") <= F.lit(middle)) == first).write.mode("append").parquet(grants)
+        known = acked.filter(F.col("acked_at").cast("timestamp") <= now)
+        known = known.filter((F.col("acked_at").cast("timestamp") <= F.lit(middle)) == first).select("lease_id", F.col("acked_at").cast("timestamp"))
+        (known.unionByName(late) if part else known).write.mode("append").parquet(replies)
+        schemas = [spark.read.parquet(f).schema for f in (grants, replies)]
+        lease_states.lease_state_stream(
+            *[spark.readStream.schema(s).parquet(f) for s, f in zip(schemas, (grants, replies), strict=True)],
+            table, checkpoint, available_now=True).awaitTermination()
+    statuses = lease_states.lease_status(spark.read.parquet(table))
+    return leases.states_of_messages(A.queue_keys(events), statuses)

@@ -14,6 +14,7 @@ from gaugeline.functions.scalars import (
     trim_text,
 )
 from gaugeline.schemas import READING_COLUMNS, ZERO_TIME
+from gaugeline.sources.csv_splits import csv_records
 
 _RECORD = "_corrupt_record"
 _RAW_SCHEMA = T.StructType(
@@ -78,9 +79,15 @@ def _readings(raw: DataFrame, mode: str, wanted: int = len(READING_COLUMNS)) ->
 
 
 def _raw(
-    spark: SparkSession, path: str | list[str], by_header: bool, multi_line: bool
+    spark: SparkSession, path: str | list[str], by_header: bool, multi_line: bool | str
 ) -> tuple[DataFrame, int]:
     """The text columns with the record of flagged rows, and how many fields a record needs."""
+    if multi_line == "split":
+        if by_header:
+            raise ValueError("files are split by position only")
+        kinds = ", ".join(f"{f.name} string" for f in _RAW_SCHEMA)
+        parsed = F.from_csv("record", kinds, {k: v for k, v in _options(True).items() if k != "header"})
+        return csv_records(spark, path).select(F.inline(F.array(parsed))), len(READING_COLUMNS)
     reader = spark.read.options(**_options(multi_line))
     if not by_header:
         return reader.schema(_RAW_SCHEMA).csv(path), len(READING_COLUMNS)
@@ -107,15 +114,15 @@ def read_telemetry_csv(
     path: str | list[str],
     by_header: bool = False,
     mode: str = "quarantine",
-    multi_line: bool = True,
+    multi_line: bool | str = True,
 ) -> DataFrame:
     """Readings of CSV files, each with a header line.
 
     Columns count by position, or by header name (ignoring case and ``_``) with
     ``by_header``. Records with fewer than 12 fields fail the read in ``strict`` mode, which
     also wants at least one data row, or are left to :func:`read_rejected_csv`. Quoted line
-    breaks need ``multi_line``, which reads each file in one task: switch it off for big
-    files without such fields, so that Spark can split them.
+    breaks need ``multi_line``, which reads each file in one task. Big files are split over many tasks with
+    ``multi_line="split"``, which reads them twice, or without it, if no field has a line break.
     """
     raw, wanted = _raw(spark, path, by_header, multi_line)
     readings = _readings(raw, mode, wanted)
@@ -125,13 +132,13 @@ def read_telemetry_csv(
 
 
 def read_rejected_csv(
-    spark: SparkSession, path: str | list[str], by_header: bool = False, multi_line: bool = True
+    spark: SparkSession, path: str | list[str], by_header: bool = False, multi_line: bool | str = True
 ) -> DataFrame:
-    """The records :func:`read_telemetry_csv` sets aside, with their file and field count."""
+    """The records :func:`read_telemetry_csv` sets aside, with their file and field count; split files are not named."""
     raw, wanted = _raw(spark, path, by_header, multi_line)
     record = F.col(_RECORD)
     return raw.filter(_is_short(wanted)).select(
-        F.input_file_name().alias("file"),
+        (F.lit("") if multi_line == "split" else F.input_file_name()).alias("file"),
         record.alias("record"),
         field_count(record).alias("fields"),
     )
