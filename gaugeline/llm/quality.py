@@ -29,8 +29,9 @@ PASSAGE = 64  # words
 SHAPES = 64
 FEATURES = SHAPES + 4
 HIDDEN, GATES = 16, 8
-TRAIN_ROWS = 4_000
-TRAIN_PASSAGES = 128  # of one document, evenly spread over it, while fitting
+LONGEST = 64  # bytes of a word; a longer one counts as several
+#: Bounds of the sample that is learned from: documents, and passages of all of them together.
+TRAIN_ROWS, TRAIN_PASSAGES = 4_000, 100_000
 STEPS = 300
 
 
@@ -61,10 +62,10 @@ class Shapes(dict):
     """Number of a word's shape: its classes with repeats and length left out."""
 
     def __missing__(self, word: bytes) -> int:
-        shape = bytes(c for i, c in enumerate(word[:256]) if not i or c != word[i - 1])[:8]
         h = 0
-        for c in shape:
-            h = (h * 131 + c) % 1_000_003
+        for i, c in enumerate(word):
+            if not i or c != word[i - 1]:
+                h = (h * 131 + c) % 1_000_003
         if len(self) > 100_000:
             self.clear()
         self[word] = h % SHAPES
@@ -74,10 +75,18 @@ class Shapes(dict):
 SHAPE_OF = Shapes()
 
 
+def words_of(data: bytes) -> list[bytes]:
+    """Words between ASCII white space; long ones in pieces of ``LONGEST`` bytes, each a word of its own."""
+    words = data.split()
+    if max(map(len, words), default=0) <= LONGEST:
+        return words
+    return [w[i : i + LONGEST] for w in words for i in range(0, len(w), LONGEST)]
+
+
 def passages(text: str | None) -> np.ndarray:
     """One row of features per passage of the whole text; a text without words is one passage of its own kind."""
     data = (text or "").encode()
-    words = data.translate(CLASSES).split()
+    words = words_of(data.translate(CLASSES))
     if not words:
         out = np.zeros((1, FEATURES), "f4")
         out[0, -1] = 1
@@ -91,7 +100,7 @@ def passages(text: str | None) -> np.ndarray:
     out = np.zeros((rows, FEATURES), "f4")
     out[:, :SHAPES] = np.bincount(place * SHAPES + shape, minlength=rows * SHAPES).reshape(rows, SHAPES) / size[:, None]
     out[:, SHAPES] = np.bincount(place, length, rows) / size / 10
-    plain = data.split()
+    plain = words_of(data)
     out[:, SHAPES + 1] = [len(set(plain[i : i + PASSAGE])) / (min(n, i + PASSAGE) - i) for i in range(0, n, PASSAGE)]
     # How often a word is that before it: words said twice, or over and over.
     again = np.fromiter(map(bytes.__eq__, plain[1:], plain), bool, n - 1)
@@ -118,6 +127,23 @@ class Model:
         p = 1 / (1 + np.exp(-np.clip(z @ w["u"] + w["c"], -30, 30)))
         return {"h": h, "t": t, "g": g, "bag": bag, "alpha": alpha, "z": z, "p": p}
 
+    def gradients(self, x: np.ndarray, begins: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
+        """Of the mean log loss of documents with labels ``y``, by every weight."""
+        w = self.weights
+        f = self.forward(x, begins)
+        d_logit = (f["p"] - y) / len(y)
+        d_z = d_logit[:, None] * w["u"]
+        d_h = f["alpha"][:, None] * d_z[f["bag"]]
+        d_alpha = (f["h"] * d_z[f["bag"]]).sum(axis=1)
+        d_s = f["alpha"] * (d_alpha - np.add.reduceat(f["alpha"] * d_alpha, begins)[f["bag"]])
+        d_t = d_s[:, None] * w["a"] * f["g"] * (1 - f["t"] ** 2)
+        d_g = d_s[:, None] * w["a"] * f["t"] * f["g"] * (1 - f["g"])
+        d_h += d_t @ w["V"].T + d_g @ w["U"].T
+        d_pre = d_h * (1 - f["h"] ** 2)
+        return {
+            "W": x.T @ d_pre, "b": d_pre.sum(axis=0), "V": f["h"].T @ d_t, "U": f["h"].T @ d_g,
+            "a": (f["t"] * f["g"]).T @ d_s, "u": f["z"].T @ d_logit, "c": d_logit.sum(keepdims=True)}
+
     def scores(self, bags: list[np.ndarray]) -> np.ndarray:
         if self.weights is None:
             return np.full(len(bags), self.prior)
@@ -136,19 +162,7 @@ def fit(bags: list[np.ndarray], y: np.ndarray, steps: int = STEPS, seed: int = 1
     w, first, second = model.weights, {}, {}
     x, begins = np.concatenate(bags).astype("f8"), np.cumsum([0] + [len(b) for b in bags[:-1]])
     for step in range(1, steps + 1):
-        f = model.forward(x, begins)
-        d_logit = (f["p"] - y) / len(y)
-        d_z = d_logit[:, None] * w["u"]
-        d_h = f["alpha"][:, None] * d_z[f["bag"]]
-        d_alpha = (f["h"] * d_z[f["bag"]]).sum(axis=1)
-        d_s = f["alpha"] * (d_alpha - np.add.reduceat(f["alpha"] * d_alpha, begins)[f["bag"]])
-        d_t = d_s[:, None] * w["a"] * f["g"] * (1 - f["t"] ** 2)
-        d_g = d_s[:, None] * w["a"] * f["t"] * f["g"] * (1 - f["g"])
-        d_h += d_t @ w["V"].T + d_g @ w["U"].T
-        d_pre = d_h * (1 - f["h"] ** 2)
-        grads = {
-            "W": x.T @ d_pre, "b": d_pre.sum(axis=0), "V": f["h"].T @ d_t, "U": f["h"].T @ d_g,
-            "a": (f["t"] * f["g"]).T @ d_s, "u": f["z"].T @ d_logit, "c": d_logit.sum(keepdims=True)}
+        grads = model.gradients(x, begins, y)
         for k, g in grads.items():
             g = g + 1e-5 * w[k]
             first[k] = 0.9 * first.get(k, 0) + 0.1 * g
@@ -158,19 +172,27 @@ def fit(bags: list[np.ndarray], y: np.ndarray, steps: int = STEPS, seed: int = 1
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, rows: int = TRAIN_ROWS, label: str = "quality",
-          key: str = "doc_id", text: str = "text") -> Model:
-    """The model of at most ``rows`` labelled documents that meet ``learn`` (a condition on k, the key)."""
+          key: str = "doc_id", text: str = "text", passages_held: int = TRAIN_PASSAGES) -> Model:
+    """The model of at most ``rows`` labelled documents that meet ``learn`` (a condition on k, the key).
+
+    Documents are taken in the order of a hash of their texts as long as all of them together have at most ``passages_held``
+    passages; one that does not fit is passed over. Of a document that is taken every passage counts.
+    """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = passages_held
         for batch in slices(batches, 64):
-            bags = []
-            for t in batch.column(1).to_pylist():
-                bag = passages(t)
-                if len(bag) > TRAIN_PASSAGES:
-                    bag = bag[np.linspace(0, len(bag) - 1, TRAIN_PASSAGES).astype("i8")]
-                bags.append(bag.astype("<f4").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bags, pa.binary())], names=["y", "bag"])
-
-    found = training_rows(docs, labels, label, learn, rows, key, text).mapInArrow(encode, "y int, bag binary").collect()
+            found = [(y, passages(t)) for y, t in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+            kept = []
+            for y, bag in found:
+                if len(bag) <= left:
+                    left -= len(bag)
+                    kept.append((y, bag.astype("<f4").tobytes()))
+            yield pa.RecordBatch.from_arrays([
+                pa.array([y for y, _ in kept], pa.int32()), pa.array([b for _, b in kept], pa.binary())], names=["y", "bag"])
+
+    # A key that many rows share brings many texts: these are bounded too, before anything is collected.
+    sample = training_rows(docs, labels, label, learn, rows, key, text).orderBy(F.xxhash64("t"), "t", "y").limit(rows)
+    found = sample.mapInArrow(encode, "y int, bag binary").collect()
     found.sort(key=lambda r: (r.y, bytes(r.bag)))  # the order in which tasks end must not matter
     bags = [np.frombuffer(bytes(r.bag), "<f4").reshape(-1, FEATURES) for r in found]
     return fit(bags, np.array([r.y for r in found], "f8"))

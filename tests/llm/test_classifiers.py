@@ -57,6 +57,49 @@ def test_passages_cover_the_whole_text():
     assert np.abs(a[0] - b[0]).sum() < 1e-6 and np.abs(a[-1] - b[-1]).sum() > 0.5
 
 
+def test_long_words_are_read_to_their_end():
+    a, b = quality.passages("a" * 17_000), quality.passages("a" * 5_000 + "!a" * 6_000)
+    assert len(a) == -(-17_000 // 64 // 64) and np.abs(a[0] - b[0]).max() < 1e-6 and np.abs(a[-1] - b[-1]).max() > 0.5
+    runs = [quality.SHAPE_OF[quality.words_of(w.translate(quality.CLASSES))[0]] for w in (b"a1" * 9, b"a1" * 8 + b"a!")]
+    assert runs[0] != runs[1]
+
+
+def test_gradients_are_those_of_the_loss():
+    rng = np.random.default_rng(2)
+    bags = [rng.normal(size=(n, quality.FEATURES)) for n in (1, 3, 5, 2)]
+    x, begins, y = np.concatenate(bags), np.array([0, 1, 4, 9]), np.array([1.0, 0, 1, 0])
+    shapes = {"W": (quality.FEATURES, quality.HIDDEN), "b": (quality.HIDDEN,), "V": (quality.HIDDEN, quality.GATES),
+              "U": (quality.HIDDEN, quality.GATES), "a": (quality.GATES,), "u": (quality.HIDDEN,), "c": (1,)}
+    model = quality.Model({k: rng.normal(0, 0.3, s) for k, s in shapes.items()})
+
+    def loss():
+        p = model.forward(x, begins)["p"]
+        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+
+    for name, grad in model.gradients(x, begins, y).items():
+        w = model.weights[name]
+        for at in [tuple(rng.integers(0, n) for n in w.shape) for _ in range(12)]:
+            w[at] += 1e-5
+            up = loss()
+            w[at] -= 2e-5
+            down = loss()
+            w[at] += 1e-5
+            assert abs((up - down) / 2e-5 - grad[at]) < 1e-6, name
+
+
+def test_sample_is_bounded_by_rows_and_passages(spark, tables):
+    docs = spark.createDataFrame([(1, f"text {i} " * 70, 1) for i in range(50)] + [(2, "x! " * 100_000, 0), (3, "bad## " * 9, 0)],
+                                 "doc_id long, text string, quality int")
+    seen = []
+    fit = quality.fit
+    quality.fit = lambda bags, y: seen.append(bags) or fit(bags, y, steps=2)
+    try:
+        quality.train(docs, docs, F.lit(True), rows=20, passages_held=30)
+    finally:
+        quality.fit = fit
+    assert len(seen[0]) <= 20 and 20 < sum(map(len, seen[0])) <= 30 or len(seen[0]) == 20
+
+
 def test_attention_finds_the_bad_passage():
     rng = np.random.default_rng(0)
     bags, y = [], []
