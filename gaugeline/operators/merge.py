@@ -53,9 +53,12 @@ def matching_keys(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataF
 def insert_counts(
     target: DataFrame, batch: DataFrame, keys: list[str], by: str, inserted: str
 ) -> DataFrame:
-    """Per value of ``by``, which is one of ``keys``, the rows inserted and the duplicates."""
+    """Per value of ``by``, which is one of ``keys``, the rows inserted and the duplicates.
+
+    Of the target only keys that the batch has too go any further than its scan, where the batch's keys fit a broadcast.
+    """
     copies = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
-    present = target.select(*keys).distinct().withColumn("_present", F.lit(True))
+    present = matching_keys(target, batch, keys).distinct().withColumn("_present", F.lit(True))
     seen = copies.join(present, keys, "left")
     fresh = F.count_if(F.col("_present").isNull())
     return seen.groupBy(by).agg(

@@ -11,6 +11,7 @@ from gaugeline.functions import identity, payload, scalars
 from gaugeline.operators import (
     collect,
     constraints,
+    cursors,
     leases,
     merge,
     publish,
@@ -605,6 +606,24 @@ def _(spark, sf_dir):
     return fetched.select("owner", "id", "topic", "msg_uuid")
 
 
+@query("fetch_after_cursor", S.with_(S.OWNED, """
+    SELECT CAST(owner AS INTEGER) AS owner, id, topic, msg_uuid FROM (
+      SELECT *, row_number() OVER (PARTITION BY owner ORDER BY id) AS nth
+      FROM (SELECT *, max(id) OVER () // 8 AS step FROM owned) WHERE owner = 3 OR id > (owner + 1) * step) WHERE nth <= 200"""))
+def _(spark, sf_dir):
+    """A stored queue of eight flushes; of four owners three have stored cursors, each one further on."""
+    stored, marks = work_folder(spark, "queue"), work_folder(spark, "cursors")
+    rows = A.queue(A.load(spark, sf_dir))
+    step = rows.agg(F.max("id")).head()[0] // 8
+    for flush in range(8):
+        last = 1 << 60 if flush == 7 else (flush + 1) * step
+        tables.append_queue(rows.filter((F.col("id") > flush * step - (flush == 0)) & (F.col("id") <= last)).coalesce(1), stored, f"flush-{flush}")
+    for ahead in (1, 0):  # the second, lower marks change nothing
+        cursors.save_cursors(spark.createDataFrame([(o, (o + ahead) * step) for o in range(3)], cursors.CURSORS), marks)
+    return cursors.fetch_after_cursor(
+        tables.scan_queue(spark, stored), ranges_of(spark), cursors.read_cursors(spark, marks), 200).select("owner", "id", "topic", "msg_uuid")
+
+
 @query("lease_batches", S.with_(S.OWNED, "SELECT id, CAST(owner AS INTEGER) AS owner, batch FROM batches"))
 def _(spark, sf_dir):
     return queue.lease_batches(A.owned(A.load(spark, sf_dir))).select("id", "owner", "batch")
