@@ -130,8 +130,14 @@ def backlog_utilization(
     queue: DataFrame, ranges: DataFrame, batch_size: int = FETCH_LIMIT
 ) -> DataFrame:
     """Per owner, its backlog as a share of one fetch; 0 when the batch size is not positive."""
-    waiting = assign_owner(queue.select("partition_key"), ranges).groupBy("owner").agg(
-        F.count(F.lit(1)).alias("_waiting")
+    counts = queue.groupBy("partition_key").agg(F.count(F.lit(1)).alias("waiting"))
+    return utilization(counts, ranges, batch_size)
+
+
+def utilization(counts: DataFrame, ranges: DataFrame, batch_size: int = FETCH_LIMIT) -> DataFrame:
+    """The same from the number of messages waiting in each partition, such as the running backlog."""
+    waiting = assign_owner(counts.select("partition_key", "waiting"), ranges).groupBy("owner").agg(
+        F.sum("waiting").alias("_waiting")
     )
     backlog = F.coalesce(F.col("_waiting"), F.lit(0)).cast("bigint")
     if batch_size > 0:

@@ -25,8 +25,8 @@ from gaugeline.plans import sql as S
 from gaugeline.schemas import ENTRY_COLUMNS, READING_COLUMNS, TELEMETRY_COLUMNS
 from gaugeline.session import work_folder
 from gaugeline.sources import csv_files, tables
+from gaugeline.streaming import backlog, pipeline
 from gaugeline.streaming import leases as lease_states
-from gaugeline.streaming import pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1085,3 +1085,21 @@ def _(spark, sf_dir):
             table, checkpoint, available_now=True).awaitTermination()
     statuses = lease_states.lease_status(spark.read.parquet(table))
     return leases.states_of_messages(A.queue_keys(events), statuses)
+
+
+@query("stream_backlog", S.with_(S.LEASES + DONE, """
+    SELECT CAST(o.i AS INTEGER) AS owner, count(q.id) AS backlog, least(count(q.id), 5000) / 5000.0::DOUBLE AS utilization
+    FROM range(4) o(i) LEFT JOIN (SELECT * FROM owned WHERE id NOT IN (SELECT id FROM done)) q ON q.owner = o.i GROUP BY o.i"""))
+def _(spark, sf_dir):
+    """The backlog from running counts of messages put on the queue and deleted, in two starts of the stream."""
+    events, granted, acked = delivery(spark, sf_dir)
+    messages = A.queue_keys(events).select("id", "partition_key")
+    gone = messages.join(acked_ids(granted, acked).select("id"), "id", "left_semi")
+    folders = [work_folder(spark, n) for n in ("inserted", "deleted")]
+    table, checkpoint = work_folder(spark, "backlog"), work_folder(spark, "checkpoint-backlog")
+    for half in (0, 1):
+        for rows, folder in zip((messages, gone), folders, strict=True):
+            rows.filter(F.col("id") % 2 == half).write.mode("append").parquet(folder)
+        backlog.backlog_stream(
+            *[spark.readStream.schema(messages.schema).parquet(f) for f in folders], table, checkpoint, available_now=True).awaitTermination()
+    return queue.utilization(backlog.stored_backlog(spark, table), ranges_of(spark), 5000)

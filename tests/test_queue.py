@@ -179,3 +179,25 @@ def test_any_number_of_partitions_is_fetched_in_full(spark, total):
     assert queue.fetch_batch_per_owner(rows, ranges).select("id").distinct().count() == total
     used = queue.backlog_utilization(rows, ranges, total).collect()
     assert sum(r.backlog for r in used) == total and all(r.backlog == total // 4 for r in used)
+
+
+def test_running_backlog(spark, tmp_path):
+    """Counts follow inserts and deletes over restarts; nothing is stored but the last batches."""
+    from gaugeline.streaming import backlog
+
+    schema = "id long, partition_key int"
+    ups, downs, table, checkpoint = (str(tmp_path / n) for n in ("up", "down", "table", "c"))
+    assert backlog.stored_backlog(spark, table).count() == 0
+    put, gone = [], []
+    for step in range(4):
+        new = [(10 * step + i, i % 3) for i in range(7)]
+        done = [r for r in put if r[0] % 10 < step]
+        done = [r for r in done if r not in gone]
+        spark.createDataFrame(new, schema).write.mode("append").parquet(ups)
+        spark.createDataFrame(done, schema).write.mode("append").parquet(downs)
+        put, gone = put + new, gone + done
+        backlog.backlog_stream(spark.readStream.schema(schema).parquet(ups), spark.readStream.schema(schema).parquet(downs),
+                               table, checkpoint, available_now=True).awaitTermination()
+        got = {r.partition_key: r.waiting for r in backlog.stored_backlog(spark, table).collect()}
+        assert got == {k: sum(r[1] == k for r in put) - sum(r[1] == k for r in gone) for k in range(3)}
+    assert len(list((tmp_path / "table").iterdir())) <= 2
