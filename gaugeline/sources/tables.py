@@ -17,6 +17,9 @@ from gaugeline.sources.keys import KeyTable
 EVENT_DATE = "event_date"
 INGEST_BATCH = "ingest_batch"
 REWRITE, NEXT_ID, KEYS = "_rewrite", "_next_id", "_keys"  # below a table, where scans do not look
+# Parquet's Bloom filters of uuid, as large as a file's ids need: an id that a file lacks is not looked for in it, though it lies
+# between the file's least and greatest.
+ID_FILTER = {"parquet.bloom.filter.enabled#uuid": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
 MARKS = 64  # files of highest ids after which they are written anew
 
 
@@ -172,7 +175,8 @@ def append_telemetry(df: DataFrame, path: str, at: Column | None = None, keyed:
     """Append telemetry rows by day; ``ingested_at`` is ``at`` or now where it is not set.
 
     Rows are range-partitioned by (day, uuid, timestamp): a GPU with very many rows spreads
-    over several tasks, and a lookup by uuid and time skips most files and row groups. Unless the writer keeps the table's
+    over several tasks, and a lookup by uuid and time skips most files and row groups; Bloom filters skip those that only could
+    have the id. Unless the writer keeps the table's
     key table itself (``keyed``), that is built anew when it is wanted next.
     """
     if not keyed:
@@ -184,7 +188,7 @@ def append_telemetry(df: DataFrame, path: str, at: Column | None = None, keyed:
     (
         rows.repartitionByRange(EVENT_DATE, "uuid", "timestamp")
         .sortWithinPartitions(EVENT_DATE, "uuid", "timestamp")
-        .write.mode("append").partitionBy(EVENT_DATE).parquet(path)
+        .write.mode("append").options(**ID_FILTER).partitionBy(EVENT_DATE).parquet(path)
     )
 
 

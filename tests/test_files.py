@@ -110,3 +110,30 @@ def test_ingested_at_defaults_to_now(spark, tmp_path):
     rows = adapters.telemetry(adapters.load(spark, "/root/testdata/sf0.001")).drop("ingested_at")
     tables.append_telemetry(rows, str(tmp_path / "t"))
     assert tables.scan_telemetry(spark, str(tmp_path / "t")).filter(F.col("ingested_at").isNull()).isEmpty()
+
+
+def test_absent_ids_are_not_looked_for(spark, tmp_path):
+    """An id between a file's least and greatest, which its dictionary does not rule out, is ruled out by the Bloom filter."""
+    events = adapters.load(spark, "/root/testdata/sf0.001")
+    path = str(tmp_path / "t")
+    rows = adapters.telemetry(events).withColumn("uuid", F.concat(F.lit("GPU-"), F.md5(F.col("id").cast("string"))))
+    tables.append_telemetry(rows.coalesce(1), path)
+    known = rows.filter("id = 77").head().uuid
+
+    def scanned(uuid, bloom):
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            reader = spark.read.option("parquet.filter.bloom.enabled", bloom).option("parquet.filter.dictionary.enabled", "false")
+            df = reader.option("parquet.filter.columnindex.enabled", "false").parquet(path).filter(F.col("uuid") == uuid).select("uuid", "value")
+            found = len(df.collect())
+            leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+            return found, leaves.apply(0).metrics().apply("numOutputRows").value()
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+    absent = known[:-1] + ("0" if known[-1] != "0" else "1")
+    found, read = scanned(absent, "false")
+    assert found == 0 and read > 0
+    found, skipping = scanned(absent, "true")
+    assert found == 0 and skipping < read
+    assert scanned(known, "true")[0] == scanned(known, "false")[0] == 1
