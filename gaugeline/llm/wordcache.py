@@ -17,15 +17,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words held by each of the two generations of a cache.
-GENERATION = 300_000
+GENERATION = 150_000
 #: Longer words are encoded anew each time.
 LONGEST = 64
 #: Punctuation that, after a word, begins a token of its own.
 AFTER = ".,!?;:#$%&*|)"
 #: Texts encoded at once, in characters; a longer text is taken alone.
-AT_ONCE = 12 << 20
+AT_ONCE = 4 << 20
 #: Pieces whose ids are gathered at once.
-GATHERED = 1 << 18
+GATHERED = 1 << 17
 #: Characters that may mark cuts; one that no text of a slice has is taken.
 MARKS = ["\x01", "\x02", "\x03", "\x04", *map(chr, range(0xFDD0, 0xFDF0))]
 
@@ -210,7 +210,9 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """One value per text; null counts as empty."""
-        return [ids for some in portions(texts) for ids in self._slice(some)]
+        out = [ids for some in portions(texts) for ids in self._slice(some)]
+        pa.default_memory_pool().release_unused()  # a worker is kept, and other stages need the memory
+        return out
 
     def _slice(self, texts: list[str | None]) -> list[bytes]:
         strings = pa.array([t or "" for t in texts], pa.large_string())
