@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ from gaugeline.plans import sql as S
 from gaugeline.schemas import ENTRY_COLUMNS, READING_COLUMNS, TELEMETRY_COLUMNS
 from gaugeline.session import work_folder
 from gaugeline.sources import csv_files, tables
+from gaugeline.sources.gpu_days import GpuDays
 from gaugeline.streaming import backlog, pipeline
 from gaugeline.streaming import leases as lease_states
 
@@ -38,6 +40,7 @@ IN_WINDOW = "\"timestamp\" BETWEEN TIMESTAMP '2024-01-05 00:00:00' AND TIMESTAMP
 ENTRY_SQL = ", ".join(f'"{c}"' for c in ENTRY_COLUMNS)
 TELEMETRY_SQL = ", ".join(f'"{c}"' for c in TELEMETRY_COLUMNS)
 READING_SQL = ", ".join(f'"{c}"' for c in READING_COLUMNS)
+SPLIT_DAY = dt.date(2024, 1, 10)
 EARLY_SQL = "TIMESTAMP '2024-01-10 00:00:00'"
 
 
@@ -69,6 +72,33 @@ def _(spark, sf_dir):
     return response.select("page", F.posexplode("gpus").alias("position", "gpu")).select("page", "position", "gpu.id")
 
 
+def _closed_days(spark: SparkSession, sf_dir: str) -> GpuDays:
+    """A stored table whose days before a split are closed, then late readings of errors for some of these days."""
+    events = A.load(spark, sf_dir)
+    folder = work_folder(spark, "telemetry")
+    late = (F.col("event_type") == "error") & (F.dayofmonth("ts") < 4)
+    tables.append_telemetry(A.telemetry(events.filter(~late)), folder)
+    days = GpuDays(spark, folder)
+    days.close(SPLIT_DAY)
+    tables.append_telemetry(A.telemetry(events.filter(late)), folder)
+    return days
+
+
+@query("gpus_by_day", S.with_(S.TELEMETRY, """
+    SELECT uuid, count(*) AS readings, min("timestamp") AS first_at, max("timestamp") AS last_at
+    FROM telemetry WHERE uuid IS NOT NULL GROUP BY uuid"""))
+def _(spark, sf_dir):
+    """Merged from summaries of closed days and readings of open ones and of those with late readings."""
+    return _closed_days(spark, sf_dir).gpus()
+
+
+@query("gpus_response_by_day", ORACLES["gpus_response"])
+def _(spark, sf_dir):
+    """The pages of gpus_response, from summaries by day."""
+    response = readings.gpus_response(_closed_days(spark, sf_dir).gpus(), page_size=7)
+    return response.select("page", F.posexplode("gpus").alias("position", "gpu")).select("page", "position", "gpu.id")
+
+
 BUSIEST = "(SELECT uuid FROM telemetry GROUP BY uuid ORDER BY count(*) DESC, uuid LIMIT 1)"
 
 
