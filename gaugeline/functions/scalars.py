@@ -26,6 +26,9 @@ RFC3339_LOOSE = (
     r"(Z|[+-]([01]\d|2[0-4]):([0-5]\d|60))\z"
 )
 
+#: Doubles below this have fewer than 53 bits.
+SUBNORMAL = 2.0**-1022
+
 
 def trim_text(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITE_SPACE))
@@ -75,6 +78,55 @@ def format_rfc3339nano(c: Column) -> Column:
     return F.coalesce(F.concat(short, F.lit("Z")), F.lit(""))
 
 
+def _shortest(c: Column, text: Column) -> Column:
+    """Plain text of the fewest digits that read back as ``c``, from the exact but perhaps longer ``text`` that Java prints.
+
+    Of numbers with k digits, if any reads back, then one of the two next to the printed one does. Different numbers of
+    up to 15 digits never read alike unless they are subnormal, for which all lengths are tried.
+    """
+    plain = F.regexp_replace(F.substring_index(text, "E", 1), "^-", "")
+    tail = F.substring_index(plain, ".", -1)
+    exponent = F.coalesce(F.when(text.contains("E"), F.substring_index(text, "E", -1)).try_cast("int"), F.lit(0))
+    # From 2^53 on numbers are whole, and up to 2^96, where printed digits may be cut instead of rounded, all their digits
+    # come by exact arithmetic: a number below 2^63 times a power of two that divides it.
+    size, whole = F.abs(c), F.lit(None).cast("string")
+    for shift in (33, 22, 11, 0):
+        product = (size / 2.0**shift).cast("bigint").cast("decimal(20,0)") * F.lit(2**shift).cast("decimal(11,0)")
+        whole = F.when((size >= 2.0 ** max(53, 52 + shift)) & (size < 2.0 ** (63 + shift)), product.cast("string")).otherwise(whole)
+    printed = F.struct(
+        F.coalesce(whole, F.ltrim(F.regexp_replace(plain, r"\.", ""), F.lit("0"))).alias("digits"),
+        F.when(whole.isNull(), exponent - F.length(tail)).otherwise(0).alias("scale"),
+    )
+    fewest = F.when(F.abs(c) < SUBNORMAL, 1).otherwise(15)
+
+    def cut(x: Column, k: Column) -> Column:
+        """The numbers of k digits below and above, those that read back, the nearer first."""
+        scale = x["scale"] + F.length(x["digits"]) - k
+        low = x["digits"].substr(F.lit(1), k).cast("bigint")
+        up = x["digits"].substr(k + 1, F.lit(1)) >= "5"
+        both = F.when(up, F.array(low + 1, low)).otherwise(F.array(low, low + 1))
+        numbers = F.transform(both, lambda m: F.struct(m.cast("string").alias("digits"), scale.alias("scale")))
+        return F.filter(numbers, lambda m: F.concat(m["digits"], F.lit("E"), m["scale"].cast("string")).cast("double") == F.abs(c))
+
+    def shorter(x: Column) -> Column:
+        last = F.least(F.length(x["digits"]) - 1, F.lit(17))  # 17 digits always do
+        tried = F.when(fewest <= last, F.flatten(F.transform(F.sequence(fewest, last), lambda k: cut(x, k))))
+        return F.coalesce(F.get(tried, F.lit(0)), x)
+
+    def plainly(x: Column) -> Column:
+        point = F.length(x["digits"]) + x["scale"]
+        digits = F.rtrim(x["digits"], F.lit("0"))
+        return (
+            F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+            .when(F.length(digits) <= point, F.rpad(digits, point, "0"))
+            .otherwise(F.concat(F.substr(digits, F.lit(1), point), F.lit("."), F.substr(digits, point + 1)))
+        )
+
+    # Lambdas bind what is used more than once.
+    found = F.transform(F.transform(F.array(printed), shorter), plainly)
+    return F.concat(F.when(c < 0, "-").otherwise(""), F.get(found, F.lit(0)))
+
+
 def format_float(c: Column) -> Column:
     """Double to its shortest decimal text, never with an exponent."""
     text = c.cast("string")
@@ -93,6 +145,8 @@ def format_float(c: Column) -> Column:
         F.when(F.isnan(c), "NaN")
         .when(c == float("inf"), "+Inf")
         .when(c == float("-inf"), "-Inf")
+        # Older Javas print now and then more digits than are needed, but then at least 16, or of a subnormal number.
+        .when((F.length(text) > 16) | ((F.abs(c) < SUBNORMAL) & (c != 0)), _shortest(c, text))
         .when(~text.contains("E"), F.regexp_replace(text, r"\.0$", ""))
         .when(exponent < 0, F.concat(sign, small))
         .otherwise(F.concat(sign, large))

@@ -247,6 +247,17 @@ def _(spark, sf_dir):
     )
 
 
+@query("format_float_digits", """
+    SELECT event_id, rtrim(ltrim(replace(regexp_replace(CAST(x AS VARCHAR), 'e.*$', ''), '.', ''), '0'), '0') AS digits
+    FROM (SELECT event_id, abs(value) / 3 * pow(2.0, CAST(event_id % 800 - 400 AS DOUBLE)) AS x FROM events)""")
+def _(spark, sf_dir):
+    """The digits of numbers of many sizes that need 15 to 17 of them."""
+    x = F.expr("abs(value) / 3 * pow(2D, CAST(event_id % 800 - 400 AS DOUBLE))")
+    text = scalars.format_float(F.col("x"))
+    return A.load(spark, sf_dir).select("event_id", x.alias("x")).select(
+        "event_id", F.btrim(F.regexp_replace(text, r"\.", ""), F.lit("0")).alias("digits"))
+
+
 @query("trim_fields", f"WITH {S.READINGS.strip()} SELECT id, {READING_SQL} FROM readings")
 def _(spark, sf_dir):
     rows = A.readings(A.load(spark, sf_dir))

@@ -1,6 +1,9 @@
 import datetime as dt
 import math
+from decimal import Decimal
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +65,25 @@ def test_format_float_reads_back(spark):
     assert [float(t) for t in apply(spark, values, scalars.format_float, "double")] == values
 
 
+def test_format_float_is_shortest(spark):
+    """100,000 doubles of random bits and the ends of the range, against Python's shortest digits."""
+    patterns = np.random.default_rng(11).integers(0, 2**64, 100_000, "u8")
+    tiny = np.random.default_rng(12).integers(0, 2**52, 5_000, "u8") >> np.random.default_rng(13).integers(0, 52, 5_000, "u8")
+    powers = np.array([2.0**e for e in range(-1074, 1024)] + [float(f"{d}e{e}") for d in (1, 2, 9) for e in range(-320, 308)])
+    edges = np.array([2.0**-44, 2e23, 1e23, 8.41e21, 5e-324, 9.999999999999999e22, 9007199254740993.0, -2.2250738585072011e-308])
+    values = np.concatenate([patterns.view("f8"), tiny.view("f8"), powers, -powers, edges])
+    values = values[np.isfinite(values)]
+    df = spark.createDataFrame(pd.DataFrame({"i": range(len(values)), "v": values}))
+    got = df.select("i", scalars.format_float(F.col("v")).alias("t")).toPandas().sort_values("i")["t"].tolist()
+
+    def plain(v):
+        text = format(Decimal(repr(v)), "f")
+        return text.removesuffix(".0") if "." in text else text
+
+    wrong = [(v, t, plain(v)) for v, t in zip(values.tolist(), got, strict=True) if t != plain(v)]
+    assert wrong == []
+
+
 def test_fnv1a(spark):
     texts = ["", "a", "foobar", "GPU-5fd4f087-86f3-7a43-b711-4771313afc50", "é✓"]
     assert apply(spark, texts, identity.fnv1a32) == [0x811C9DC5, 0xE40C292C, 0xBF9CF968, 0x567BEE22, 0xE111CB24]
