@@ -5,7 +5,9 @@ import random
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from gaugeline.plans import catalog
 from gaugeline.sources import csv_files, csv_splits
 from gaugeline.schemas import READING_COLUMNS
 
@@ -102,3 +104,24 @@ def test_nothing_and_headers_only(spark, tmp_path):
     (tmp_path / "e.csv").write_text("")
     (tmp_path / "h.csv").write_text(HEADER)
     assert csv_files.read_telemetry_csv(spark, str(tmp_path), multi_line="split").count() == 0
+
+
+def events(spark, folder, n, parts):
+    """Rows like the given events in several files."""
+    spark.range(0, n, 1, parts).selectExpr(
+        "id AS event_id", "cast(timestamp_seconds(1704067200 + id) AS timestamp_ntz) AS ts", "id % 9 AS user_id", "'view' AS event_type",
+        "id / 4.0D AS value", "'{\"k\": 1}' AS props").write.parquet(f"{folder}/events.parquet")
+
+
+def test_csv_rejects_is_read_by_several_tasks(spark, tmp_path):
+    events(spark, tmp_path, 4000, 4)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "60000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "60000")  # a file or split to a task
+    try:
+        found = catalog.QUERIES["csv_rejects"](spark, str(tmp_path))
+        tasks = found.select(F.spark_partition_id().alias("p"), "record").groupBy("p").agg(F.count("*").alias("n")).collect()
+        assert sum(t.n for t in tasks) == 572 and len(tasks) > 4
+        assert sorted(int(r.record.split(",")[0]) for r in found.collect()) == list(range(0, 4000, 7))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
