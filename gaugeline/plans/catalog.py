@@ -25,7 +25,7 @@ from gaugeline.plans import flagship
 from gaugeline.plans import sql as S
 from gaugeline.schemas import ENTRY_COLUMNS, READING_COLUMNS, TELEMETRY_COLUMNS
 from gaugeline.session import work_folder
-from gaugeline.sources import csv_files, tables
+from gaugeline.sources import csv_files, files, tables
 from gaugeline.sources.gpu_days import GpuDays
 from gaugeline.streaming import backlog, pipeline
 from gaugeline.streaming import leases as lease_states
@@ -915,13 +915,15 @@ def _(spark, sf_dir):
 @query("csv_split", S.with_(S.READINGS, """
     SELECT id, 'first' || chr(10) || '"' || id || '",' || chr(10) || 'last' AS labels_raw, value, "timestamp" FROM readings"""))
 def _(spark, sf_dir):
-    """Two files with line breaks and quotes in every record, each cut by several tasks."""
+    """Two files, and one more for each million readings, with line breaks and quotes in every record, each cut by several tasks."""
     rows = A.readings(A.load(spark, sf_dir))
     texts = F.concat(F.lit("first\n\""), F.col("id"), F.lit("\",\nlast"))
     folder = work_folder(spark, "csv-split")
-    csv_files.write_telemetry_csv(rows.withColumns({"labels_raw": texts, "pod": F.col("id").cast("string")}).repartition(2, "id"), folder)
+    csv_files.write_telemetry_csv(rows.withColumns({"labels_raw": texts, "pod": F.col("id").cast("string")}).repartition(
+        2 + rows.count() // 1_000_000), folder)
     usual = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", str(64 << 10))
+    # Small files are to be cut as well; large ones into hundreds of splits, not one for every 64 KB.
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(min(max(64 << 10, files.size(spark, folder) // 400), 128 << 20)))
     try:
         back = csv_files.read_telemetry_csv(spark, folder, multi_line="split")
         stored = work_folder(spark, "csv-read")

@@ -9,7 +9,6 @@ records that lie within a split, and those across splits are put together from t
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,37 +20,45 @@ from pyspark.sql import functions as F
 ENDS = "file long, start long, assumed int, ended int, records long, head string, tail string"
 RECORDS = "file long, start long, first boolean, record string"
 
-# A field that begins with a quote, up to its closing one; what follows up to the comma belongs to it. Or one without quotes in front.
-_QUOTED = r'[ \t]*+"(?:[^"]++|"")*+"[^,]*+'
-_BARE = r'(?![ \t]*+")[^,]*+'
-_CLOSED = re.compile(f"(?:{_QUOTED}|{_BARE})(?:,(?:{_QUOTED}|{_BARE}))*+")
-_REST = re.compile(r'(?:[^"]++|"")*+"[^,]*+(?P<more>,?)')
+# A field: blanks, then a quoted text with what follows its closing quote, or a text without quotes in front, or nothing. Each
+# part can match in one way only, so automata without possessive repeats find the same.
+_FIELD = r'[ \t]*(?:"(?:[^"]|"")*"(?:[^",][^,]*)?|[^", \t][^,]*)?'
+_FROM_OUTSIDE = f"^{_FIELD}(?:,{_FIELD})*$"
+_FROM_INSIDE = rf'^(?:[^"]|"")*"(?:[^",][^,]*)?(?:,{_FIELD})*$'
+
+
+def turns_of(lines: pa.Array) -> np.ndarray:
+    """For each line whether a field is open behind it: in row 0 if none was in front of it, in row 1 if one was."""
+    lines = lines.cast(pa.binary())  # bytes, of which only ASCII ones matter
+    quoted = pc.find_substring(lines, '"').to_numpy(zero_copy_only=False) >= 0
+    out = np.repeat([[False], [True]], len(lines), axis=1)  # lines without quotes leave it as it is
+    some = lines.filter(pa.array(quoted))
+    for k, closed in enumerate((_FROM_OUTSIDE, _FROM_INSIDE)):
+        out[k, quoted] = ~pc.match_substring_regex(some, closed).to_numpy(zero_copy_only=False)
+    return out
+
+
+def open_after(turns: np.ndarray, inside: bool) -> np.ndarray:
+    """For each line whether a field is open behind it, if one is in front of the first or not."""
+    outside, within = turns
+    settled = outside == within
+    last = np.maximum.accumulate(np.where(settled, np.arange(len(settled)), -1))
+    flips = np.append(0, np.cumsum(outside & ~within))  # [i + 1]: up to line i
+    base = np.where(last < 0, inside, outside[last])
+    return base ^ ((flips[1:] - flips[last + 1]) % 2 == 1)
 
 
 def ends_inside(line: str, inside: bool) -> bool:
     """Whether the line ends inside a quoted field, if it begins so or not."""
-    at = 0
-    if inside:
-        rest = _REST.match(line)
-        if rest is None:
-            return True
-        if not rest["more"]:
-            return False
-        at = rest.end()
-    return _CLOSED.fullmatch(line, at) is None
-
-
-def record_ends(lines: pa.Array, inside: bool) -> tuple[np.ndarray, bool]:
+    return bool(turns_of(pa.array([line]))[int(inside), 0])
+
+
+def record_ends(turns: np.ndarray, inside: bool) -> tuple[np.ndarray, bool]:
     """For each line whether a record ends with it, and whether the last one ends inside a quoted field."""
-    quotes = pc.count_substring(lines, '"').to_numpy(zero_copy_only=False)
-    out = np.full(len(lines), not inside)
-    at = 0
-    for i, line in zip(np.flatnonzero(quotes).tolist(), lines.filter(pa.array(quotes > 0)).to_pylist(), strict=True):
-        out[at:i] = not inside
-        inside = ends_inside(line, inside)
-        out[i], at = not inside, i + 1
-    out[at:] = not inside
-    return out, inside
+    if not turns.shape[1]:
+        return np.zeros(0, bool), inside
+    after = open_after(turns, inside)
+    return ~after, bool(after[-1])
 
 
 def lines_of(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -96,8 +103,9 @@ def split_ends(lines: DataFrame) -> DataFrame:
         for (file, start), arrays in splits_in(batches):
             state = [{"inside": bool(k), "records": 0, "head": [], "tail": []} for k in (0, 1)]
             for some in arrays:
+                turns = turns_of(some)
                 for k, s in enumerate(state):
-                    ends, s["inside"] = record_ends(some, s["inside"])
+                    ends, s["inside"] = record_ends(turns, s["inside"])
                     at = np.flatnonzero(ends)
                     if not s["records"] and k:
                         s["head"] += some.slice(0, int(at[0]) + 1 if len(at) else len(some)).to_pylist()
@@ -164,7 +172,7 @@ def csv_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
             # The lines of a record that a split before has begun are not this pass's.
             skip, first, open_ = state, key[1] == 0 and not state, []
             for some in arrays:
-                ends, state = record_ends(some, state)
+                ends, state = record_ends(turns_of(some), state)
                 at = np.flatnonzero(ends)
                 if not len(at):
                     open_ += [] if skip else some.to_pylist()

@@ -31,6 +31,12 @@ def count(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(where).getFileCount() if fs.exists(where) else 0
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """How many bytes there are in a folder and below."""
+    fs, where = located(spark, path)
+    return fs.getContentSummary(where).getLength() if fs.exists(where) else 0
+
+
 def touch(spark: SparkSession, path: str) -> None:
     fs, where = located(spark, path)
     fs.create(where, True).close()

@@ -2,13 +2,14 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gaugeline.plans import catalog
-from gaugeline.sources import csv_files, csv_splits
+from gaugeline.sources import csv_files, csv_splits, files
 from gaugeline.schemas import READING_COLUMNS
 
 HEADER = ",".join(READING_COLUMNS)
@@ -106,6 +107,18 @@ def test_nothing_and_headers_only(spark, tmp_path):
     assert csv_files.read_telemetry_csv(spark, str(tmp_path), multi_line="split").count() == 0
 
 
+@settings(max_examples=300, deadline=None)
+@given(text=st.text(st.sampled_from('",a \né'), max_size=60), inside=st.booleans())
+def test_lines_at_once_are_lines_one_by_one(text, inside):
+    lines = text.split("\n")
+    now, want = inside, []
+    for line in lines:
+        now = csv_splits.ends_inside(line, now)
+        want.append(not now)
+    ends, last = csv_splits.record_ends(csv_splits.turns_of(pa.array(lines)), inside)
+    assert (ends.tolist(), last) == (want, now)
+
+
 def events(spark, folder, n, parts):
     """Rows like the given events in several files."""
     spark.range(0, n, 1, parts).selectExpr(
@@ -125,3 +138,18 @@ def test_csv_rejects_is_read_by_several_tasks(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_csv_split_has_a_bounded_number_of_splits(spark, tmp_path, monkeypatch):
+    events(spark, tmp_path, 500, 1)
+    sizes, usual = [], csv_files.read_telemetry_csv
+
+    def read(session, *args, **kwargs):
+        sizes.append(int(session.conf.get("spark.sql.files.maxPartitionBytes")))
+        return usual(session, *args, **kwargs)
+
+    monkeypatch.setattr(csv_files, "read_telemetry_csv", read)
+    assert catalog.QUERIES["csv_split"](spark, str(tmp_path)).count() == 500
+    monkeypatch.setattr(files, "size", lambda *_: 6 << 30)
+    assert catalog.QUERIES["csv_split"](spark, str(tmp_path)).count() == 500
+    assert sizes[0] == 64 << 10 and (6 << 30) // sizes[1] <= 400
