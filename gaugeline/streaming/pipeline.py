@@ -129,13 +129,17 @@ def publish_batch(
     staged, first, size = _read_staged(placed, folder, queue_path)
     messages = queue_rows(staged.drop("_at") if given else number_rows(staged, first), at)
     if keys is not None:
-        known = queue_keys(spark, queue_path)
+        known, held = queue_keys(spark, queue_path), None
         if table_exists(spark, queue_path):
             if not known.exists():
                 known.build(scan_queue(spark, queue_path))
-            messages = insert_if_absent(still_queued(known, staged, queue_path, batch), messages, known.keys, ["id"])
-        else:
-            messages = insert_if_absent(None, messages, known.keys, ["id"])
+            held = still_queued(known, staged, queue_path, batch)
+        # Of the keys alone it shows whether payloads need to be compared at all.
+        fresh = insert_if_absent(held, staged.select(*known.keys), known.keys).count()
+        if not fresh:
+            messages = messages.filter(F.lit(False))
+        elif fresh < size:
+            messages = insert_if_absent(held, messages, known.keys, ["id"])
         # Keys first: one without its message, left by an attempt that was broken off, is looked for and not found.
         known.append(staged, batch, size)
     append_queue(messages, queue_path, batch, True, True)
@@ -196,15 +200,15 @@ def collect_batch(
     try:
         now = at if at is not None else F.current_timestamp()
         good = storable(rows).withColumn("ingested_at", now).select(*TELEMETRY_COLUMNS)
-        size = rows.count()  # fills the cache, so that Spark knows the size of the batch
+        # Fills the cache, so that Spark knows the size of the batch.
+        size, fit = rows.agg(F.count(F.lit(1)), F.count_if(F.col("problem").isNull())).head()
         if size:
             known = telemetry_keys(spark, telemetry_path)
             if table_exists(spark, telemetry_path) and not known.exists():
                 known.build(scan_telemetry(spark, telemetry_path))
             held = already_stored(known, good, telemetry_path) if known.exists() else None
             known.begin(batch)
-            known.append(insert_if_absent(held, good.select(*known.keys), known.keys), batch, size)
-            append_telemetry(insert_if_absent(held, good, known.keys, ["id"]), telemetry_path, None, True)
+            append_fresh(known, held, good, fit, batch, telemetry_path)
             known.end(batch)
         bad = quarantined(rows)
         if mode == "quarantine" and not bad.isEmpty():
@@ -213,6 +217,22 @@ def collect_batch(
         rows.unpersist()
 
 
+def append_fresh(known: KeyTable, held: DataFrame | None, good: DataFrame, fit: int, batch: str, telemetry_path: str) -> None:
+    """Append the ``fit`` rows of ``good`` whose keys are not ``held``, one per key, their keys first.
+
+    The number of new keys tells whether there is nothing to add, or no row that has to be left out; whole rows are
+    compared only in between. Nothing here may be cached: writing keys makes Spark list the folders of cached plans again,
+    and ``held`` would then have the batch's own keys.
+    """
+    new = insert_if_absent(held, good.select(*known.keys), known.keys)
+    fresh = new.count()
+    if not fresh and held is not None:
+        return
+    whole = fresh == fit
+    known.append(good if whole else new, batch, fresh)
+    append_telemetry(good if whole else insert_if_absent(held, good, known.keys, ["id"]), telemetry_path, None, True)
+
+
 def already_stored(known: KeyTable, rows: DataFrame, telemetry_path: str) -> DataFrame | None:
     """The keys of ``rows`` that the table has, none if all are new. Keys of pending batches count only if the table has their rows."""
     found, pending = known.held(rows), known.pending()

@@ -149,3 +149,33 @@ def test_unacked(spark, tmp_path):
         availableNow=True).start(str(tmp_path / "out")).awaitTermination()
     got = spark.read.schema(lost.schema).parquet(str(tmp_path / "out")).collect()
     assert sorted(r.lease_id for r in got) == ["late", "never"]
+
+
+def test_whole_rows_are_compared_only_for_mixed_batches(spark, events, tmp_path, monkeypatch):
+    """Batches of nothing but new messages, or of none, are judged by their keys."""
+    queue, telemetry, bad = (str(tmp_path / n) for n in ("queue", "telemetry", "bad"))
+    wide, usual = [], pipeline.insert_if_absent
+
+    def insert(held, batch, keys, order=None):
+        wide.append(set(batch.columns) > set(keys))
+        return usual(held, batch, keys, order)
+
+    monkeypatch.setattr(pipeline, "insert_if_absent", insert)
+    rows = adapters.readings(events).where("id < 60")
+
+    def run(batch, name):
+        wide.clear()
+        pipeline.publish_batch(batch, queue, name, keys=["id"])
+        published = any(wide)
+        messages = adapters.queue(events).where(F.col("id").isin([r.id for r in batch.select("id").distinct().collect()]))
+        wide.clear()
+        pipeline.collect_batch(messages if batch.count() == messages.count() else messages.unionByName(messages), telemetry, bad, name)
+        stored = [tables.scan_queue(spark, queue), tables.scan_telemetry(spark, telemetry)]
+        return published, any(wide), [sorted(r.id for r in s.select("id").collect()) for s in stored]
+
+    early, later = rows.where("id < 20"), rows.where("id >= 10")
+    assert run(early, "new") == (False, False, [list(range(20))] * 2)
+    assert run(early, "known") == (False, False, [list(range(20))] * 2)
+    assert run(later, "mixed") == (True, True, [list(range(60))] * 2)
+    copies = adapters.readings(events).where("id >= 60 AND id < 70")
+    assert run(copies.unionByName(copies), "copies") == (True, True, [list(range(70))] * 2)
