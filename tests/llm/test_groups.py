@@ -287,3 +287,51 @@ def test_bm25_of_odd_documents(odd, nothing):
     assert [(r.doc_id, r["rank"]) for r in sorted(rows, key=lambda r: r["rank"]) if r.query_id == 5] == [(5, 1), (5, 2), (6, 3)]
     assert bm25.search(nothing, nothing).count() == 0
     assert bm25.search(odd, nothing).count() == 0
+
+
+def test_bm25_of_long_queries_opens_few_postings(monkeypatch):
+    """Whole documents as queries, with copies and edited copies: few of their postings are read, and the best are those of brute force."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(4000)]
+    chances = [1 / (i + 1) for i in range(len(words))]
+    docs = [(i, " ".join(rng.choices(words, chances, k=rng.randint(100, 300)))) for i in range(600)]
+    for i in range(0, 600, 20):
+        own = docs[i][1].split()
+        docs += [(1000 + 20 * i + j, " ".join(own[:-1] if j % 2 else own)) for j in range(14)]
+    docs += [(9000, None), (9001, ""), (bm25.NO_KEY, docs[0][1])]
+    asked = docs[:600:20]
+    arrays = bm25.build(np.array([k for k, _ in docs]), [t for _, t in docs])
+    assert arrays["copies"].sum() == len(docs) and arrays["copies"].max() == 9
+    frequency = dict(zip(arrays["terms"].tolist(), np.add.reduceat(arrays["copies"][arrays["doc"]], arrays["first"][:-1]).tolist(), strict=True))
+    block = {"q": [], "term": [], "gain": []}
+    for key, text in asked:
+        for t, times in zip(*np.unique(bm25.terms(text), return_counts=True), strict=True):
+            df = frequency[int(t)]
+            block["q"].append(key), block["term"].append(t), block["gain"].append(times * math.log(1 + (len(docs) - df + 0.5) / (df + 0.5)))
+    queries = bm25.Queries({k: np.array(v) for k, v in block.items()})
+    shard = bm25.Shard(arrays, arrays["length"] @ arrays["copies"] / len(docs))
+    best = [[] for _ in queries.keys]
+    shard.search(queries, 10, best)
+    want = brute(docs, asked, 10)
+    assert {q: [(round(s, 6), k) for s, k in b] for q, b in zip(queries.keys.tolist(), best, strict=True)} == want
+    # With the best known, as after other shards, the postings of frequent terms are left alone.
+    scored = []
+    monkeypatch.setattr(bm25.Shard, "score", lambda self, some, about, *a, f=bm25.Shard.score: scored.append(len(some)) or f(self, some, about, *a))
+    known = [list(b) for b in best]
+    shard.search(queries, 10, [list(b) for b in best])
+    assert known == best and sum(scored) < len(asked) * len(docs) / 8
+
+
+def test_bm25_without_frequent_terms_or_words():
+    """A shard whose terms are all rare has no matrix, and one without words finds nothing."""
+    texts = [f"a{i} b{i // 2}" for i in range(400)]
+    arrays = bm25.build(np.arange(400), texts)
+    q = np.unique(bm25.terms(texts[7]))
+    queries = bm25.Queries({"q": np.zeros(2, "i8"), "term": q, "gain": np.ones(2)})
+    best = [[]]
+    shard = bm25.Shard(arrays, 2.0)
+    shard.search(queries, 10, best)
+    assert shard.heavy.shape[1] == 0 and [k for _, k in best[0]] == [7, 6]
+    best = [[]]
+    bm25.Shard(bm25.build(np.array([1, 2]), [None, " "]), 1.0).search(queries, 10, best)
+    assert best == [[]]
