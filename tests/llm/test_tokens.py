@@ -1,10 +1,13 @@
 """Token counts, records and packing against the tokenizers' own results on whole texts."""
 
+import random
 import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -14,7 +17,7 @@ from tokenizers import Tokenizer
 from gaugeline.llm import packing, token_counts, token_records
 from gaugeline.llm.packing import OpenWindows, best_fit_decreasing, padding_of
 from gaugeline.llm.token_records import frame, masked, unframe
-from gaugeline.llm.wordcache import AFTER, MARKS, WordEncoder
+from gaugeline.llm.wordcache import AFTER, LONGEST, MARKS, WordEncoder
 from gaugeline.session import work_folder
 
 BYTE, WORD, PIECE = map(public_tokenizers.path, ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
@@ -84,6 +87,42 @@ def test_token_counts(odd, nothing):
     assert few == sum(r.n_tokens for r in rows)
 
 
+def test_frequent_words_are_those_of_all_rows(spark):
+    """Far more rows and words than a sample held, in few tasks; rare words, odd white space and NULs count too."""
+    rng = np.random.default_rng(5)
+    texts = [f"once{i}" for i in range(300)]
+    texts += [" ".join(f"w{n}" for n in rng.zipf(1.3, 40) if n < 9000) for _ in range(2000)]
+    texts += ["late\0word  twice", "late\0word\t twice", "long" * 20, "", None, *["often"] * 500]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(2)
+    want = Counter(w for t in texts if t for w in t.split(" ") if w and len(w) <= LONGEST and "  " not in t and "\t" not in t)
+    pieces = ["late\0word  twice", "late\0word\t twice"]
+    want.update(pieces)
+    model = open(PIECE, "rb").read()
+    counter = token_counts.PieceCounter(model, {})
+    for size in (50, 2500, 1 << 16):
+        best = sorted(want, key=lambda w: (-want[w], w.encode()))[:size]
+        assert len(best) == min(size, len(want)) and len(want) > 2500
+        assert token_counts.unpack(token_counts.frequent_words(docs, model, size=size)) == {w: counter.whole(w) for w in best}
+
+
+@pytest.mark.parametrize("held", [0, 3_000, 1 << 30])
+def test_words_are_counted_in_bounded_memory(held):
+    rng = random.Random(2)
+    texts = [" ".join(f"w{rng.randint(0, 400)}" for _ in range(rng.randint(0, 30))) or None for _ in range(1500)]
+    batches = [pa.record_batch({"t": pa.array(texts[a : a + 700], pa.string())}) for a in range(0, 1500, 700)]
+    given = Counter()
+    for batch in token_counts.word_counts(iter(batches), held):
+        for word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            given[word] += n
+    assert given == Counter(w for t in texts if t for w in t.split(" "))
+    assert list(token_counts.word_counts(iter([]), held)) == []
+
+
+def test_packed_words_come_back():
+    table = {"a": 1, "b\0c": 40_000, "日本": 2, "\U0001f600": 3}
+    assert token_counts.unpack(token_counts.pack(table)) == table and token_counts.unpack(token_counts.pack({})) == {}
+
+
 @pytest.mark.parametrize("seed", [None, 3])
 def test_records_round_trip(spark, odd, seed):
     folder = work_folder(spark, "records")
