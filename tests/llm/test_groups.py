@@ -280,6 +280,24 @@ def test_bm25_is_exact(documents, monkeypatch):
     assert {q: h for q, h in found.items()} == {q: h for q, h in want.items() if h}
 
 
+def test_bm25_in_several_blocks_and_groups(documents, monkeypatch):
+    asked = documents.where("doc_id % 20 = 0")
+    want = {tuple(r) for r in bm25.search(documents, asked).collect()}
+    monkeypatch.setattr(bm25, "SHARD", 40)
+    monkeypatch.setattr(bm25, "GROUP", 2)
+    monkeypatch.setattr(bm25, "LEAST", 3)
+    assert bm25.parts(10, 1_000, 5, 8) == (3, 3)
+    assert {tuple(r) for r in bm25.search(documents, asked).collect()} == want
+
+
+def test_bm25_reads_shards_in_few_blocks():
+    """Every block of queries reads every shard: of many queries blocks are large, of few there are some for every core."""
+    assert bm25.parts(154_000, 49_000_000, 376, 6) == (47, 6)
+    assert bm25.parts(12_821, 4_116_000, 32, 6) == (12, 1)
+    assert bm25.parts(0, 0, 1, 8) == bm25.parts(300, 9_000, 1, 8) == (1, 1)
+    assert bm25.parts(5_000, 50_000_000, 1, 1) == (48, 1)
+
+
 def test_bm25_of_odd_documents(odd, nothing):
     rows = bm25.search(odd, odd.where("doc_id % 20 = 0 or doc_id = 5"), k=3).collect()
     own = {r.query_id: (r.doc_id, r.score) for r in rows if r["rank"] == 1}
